@@ -263,7 +263,7 @@ def minute_serving(t: Tables) -> DataFrame:
     return (
         t["realtime_serving_metrics_1m"]
         .select("window_start", "bidder_id", "impressions", "clicks", "revenue", "ctr")
-        .orderBy(F.desc("window_start"), F.desc("revenue"), "bidder_id")
+        .orderBy(F.desc("window_start"), F.desc(F.round("revenue", 2)), "bidder_id")
         .limit(30)
     )
 
@@ -320,7 +320,7 @@ def top_groups(df: DataFrame, key: str, metrics: dict[str, Column], limit: int,
 
 def _count_chart(table: str, key: str, counted: str, limit: int):
     def chart(t: Tables) -> DataFrame:
-        return top_groups(t[table], key, {"n": F.count(counted)}, limit, "n")
+        return top_groups(t[table], key, {"event_count": F.count(counted)}, limit, "event_count")
 
     return chart
 
