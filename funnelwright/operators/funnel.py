@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelwright.functions import hour_of, ratio
-from funnelwright.operators.joins import edges, interval_join
+from funnelwright.operators.joins import edges, interval_join, named
 
 # Longest wait in seconds from a stage to the next one.
 RESPONSE_WAIT, IMPRESSION_WAIT, CLICK_WAIT = 5, 10, 60
@@ -64,8 +64,7 @@ def hourly_funnel(
     """
     group = ["window_start", "publisher_id"]
     base = (
-        requests.select("request_id", "event_ts", "publisher_id")
-        .dropna(subset=["request_id", "event_ts"])
+        named(requests.select("request_id", "event_ts", "publisher_id"), "request_id", "event_ts")
         .distinct()
         .withColumn("window_start", hour_of(F.col("event_ts")))
     )
@@ -115,11 +114,8 @@ def linked_funnel(
 ) -> DataFrame:
     """Funnel by id links alone, per request hour and publisher; takes flat tables."""
     group = ["hour_start", "publisher_id"]
-    base = (
-        requests.select(hour_of(F.col("event_timestamp")).alias("hour_start"), "publisher_id", "request_id")
-        .dropna(subset=["request_id"])
-        .distinct()
-    )
+    hour = hour_of(F.col("event_timestamp")).alias("hour_start")
+    base = named(requests.select(hour, "publisher_id", "request_id"), "request_id").distinct()
     answered = (
         base.join(edges(responses, "request_id", "response_id"), "request_id").select(*group, "response_id").distinct()
     )

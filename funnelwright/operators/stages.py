@@ -58,3 +58,13 @@ def impression_stage(impressions: DataFrame) -> DataFrame:
 
 def click_stage(clicks: DataFrame) -> DataFrame:
     return clicks.select("click_id", "impression_id", _event_ts())
+
+
+# Every stage frame with the stream it is cut from.
+STAGES = {
+    "requests": ("bid_requests", request_stage),
+    "responses": ("bid_responses", response_stage),
+    "bids": ("bid_responses", bid_stage),
+    "impressions": ("impressions", impression_stage),
+    "clicks": ("clicks", click_stage),
+}

@@ -29,8 +29,8 @@ def _iso(micros: str) -> str:
     """ISO text with offset; without a fraction where it is zero."""
     ts = f"timestamp_micros({micros})"
     return (
-        f"date_format({ts}, CASE WHEN ({micros}) % 1000000 = 0 THEN \"yyyy-MM-dd'T'HH:mm:ss\""
-        f" ELSE \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\" END) || '+00:00'"
+        f"CASE WHEN ({micros}) % 1000000 = 0 THEN date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss'+00:00'\")"
+        f" ELSE date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'\") END"
     )
 
 
@@ -48,7 +48,9 @@ def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read(spark, sf_dir, "nation").selectExpr("n_nationkey AS nk", "n_name AS country")
     rows = read(spark, sf_dir, "orders").selectExpr("o_orderkey AS k", "o_custkey AS ck", "o_custkey % 25 AS nk")
     rows = rows.join(sized_broadcast(nation), "nk").drop("nk")
-    return _copies(rows, "k % 20 = 3").selectExpr(
+    # Copies are made after the fields, since a projection above them would be
+    # merged into this one and every use of a field would compute it again.
+    fields = rows.selectExpr(
         "k",
         "country",
         "CAST(k AS string) AS request_id",
@@ -74,26 +76,30 @@ def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{_REQUEST_US} AS event_us",
         f"{_REQUEST_US} + (k % 3) * 50000 AS received_us",
     )
+    return _copies(fields, "k % 20 = 3")
 
 
-# Fields of slot j (from 1) of request k. Sizes are fixed values.
+# Fields of slot {j} (from 1) of request k. Sizes are fixed values.
 _SLOT = {
-    "w": "CAST(CASE (k + j) % 5 WHEN 0 THEN 300 WHEN 1 THEN 728 WHEN 2 THEN 160 WHEN 3 THEN 320 ELSE 970 END AS int)",
-    "h": "CAST(CASE (k + j) % 5 WHEN 0 THEN 250 WHEN 1 THEN 90 WHEN 2 THEN 600 WHEN 3 THEN 50 ELSE 250 END AS int)",
-    "floor": "((k * 7 + j * 31) % 499) / 100.0e0",
-    "currency": "CASE (k + j) % 11 WHEN 0 THEN 'EUR' WHEN 1 THEN 'GBP' WHEN 2 THEN 'JPY' WHEN 3 THEN NULL ELSE 'USD' END",
+    "w": "CAST(CASE (k + {j}) % 5 WHEN 0 THEN 300 WHEN 1 THEN 728 WHEN 2 THEN 160 WHEN 3 THEN 320 ELSE 970 END AS int)",
+    "h": "CAST(CASE (k + {j}) % 5 WHEN 0 THEN 250 WHEN 1 THEN 90 WHEN 2 THEN 600 WHEN 3 THEN 50 ELSE 250 END AS int)",
+    "floor": "((k * 7 + {j} * 31) % 499) / 100.0e0",
+    "currency": "CASE (k + {j}) % 11 WHEN 0 THEN 'EUR' WHEN 1 THEN 'GBP' WHEN 2 THEN 'JPY' WHEN 3 THEN NULL ELSE 'USD' END",
 }
 
 
 def bid_request_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested bid-request events as on the wire."""
-    slot = f"""named_struct('id', CAST(j AS string),
-        'banner', named_struct('w', {_SLOT['w']}, 'h', {_SLOT['h']}, 'pos', CAST(j AS int)),
-        'bidfloor', {_SLOT['floor']}, 'bidfloorcur', {_SLOT['currency']}, 'secure', 1)"""
+
+    def slot(j: int) -> str:
+        fields = {name: rule.format(j=j) for name, rule in _SLOT.items()}
+        return f"""named_struct('id', '{j}', 'banner', named_struct('w', {fields['w']}, 'h', {fields['h']}, 'pos', {j}),
+            'bidfloor', {fields['floor']}, 'bidfloorcur', {fields['currency']}, 'secure', 1)"""
+
     publisher = "named_struct('id', publisher_id, 'name', CAST(publisher_id AS string))"
-    rows = _requests(spark, sf_dir).selectExpr(
+    return _requests(spark, sf_dir).selectExpr(
         "request_id AS id",
-        f"CASE WHEN n_slots = 0 THEN array() ELSE transform(sequence(1, n_slots), j -> {slot}) END AS imp",
+        f"slice(array({slot(1)}, {slot(2)}, {slot(3)}), 1, n_slots) AS imp",
         f"""CASE WHEN traffic = 'site' THEN named_struct('id', place_id, 'domain', place,
             'cat', array('IAB1', concat('IAB', CAST(k % 20 AS string))), 'page', concat('https://', place),
             'publisher', {publisher}) END AS site""",
@@ -111,7 +117,6 @@ def bid_request_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{_iso('event_us')} AS event_timestamp",
         f"{_iso('received_us')} AS received_at",
     )
-    return rows.to(event_schema("bid_requests"))
 
 
 def request_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,9 +135,9 @@ def request_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("j", F.expr("explode(sequence(1, n_slots))"))
         .selectExpr(
             "*",
-            f"{_SLOT['w']} AS imp_banner_w",
-            f"{_SLOT['h']} AS imp_banner_h",
-            f"{_SLOT['floor']} AS imp_bidfloor",
+            f"{_SLOT['w'].format(j='j')} AS imp_banner_w",
+            f"{_SLOT['h'].format(j='j')} AS imp_banner_h",
+            f"{_SLOT['floor'].format(j='j')} AS imp_bidfloor",
         )
         .filter("imp_bidfloor > 0")
         .selectExpr(
@@ -198,17 +203,13 @@ def bid_response_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = seats.groupBy("k", "response_id", "request_id", "event_us").agg(
         F.collect_list(F.struct("seat", "bid")).alias("seatbid")
     )
-    return (
-        _copies(events, "k % 25 = 4")
-        .selectExpr(
-            "response_id AS id",
-            "seatbid",
-            "response_id AS bidid",
-            "'USD' AS cur",
-            "named_struct('request_id', request_id) AS ext",
-            f"{_iso('event_us')} AS event_timestamp",
-        )
-        .to(event_schema("bid_responses"))
+    return _copies(events, "k % 25 = 4").selectExpr(
+        "response_id AS id",
+        "seatbid",
+        "response_id AS bidid",
+        "'USD' AS cur",
+        "named_struct('request_id', request_id) AS ext",
+        f"{_iso('event_us')} AS event_timestamp",
     )
 
 
@@ -241,7 +242,8 @@ def _impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def impression_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _copies(_impressions(spark, sf_dir), "k % 15 = 6")
-    return rows.withColumn("event_timestamp", F.expr(_iso("event_us"))).to(event_schema("impressions"))
+    rows = rows.withColumn("event_timestamp", F.expr(_iso("event_us")))
+    return rows.select(*event_schema("impressions").fieldNames())
 
 
 def impression_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +273,8 @@ def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def click_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _clicks(spark, sf_dir)
-    return rows.withColumn("event_timestamp", F.expr(_iso("event_us"))).to(event_schema("clicks"))
+    rows = rows.withColumn("event_timestamp", F.expr(_iso("event_us")))
+    return rows.select(*event_schema("clicks").fieldNames())
 
 
 def click_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,6 +282,36 @@ def click_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(rows.withColumn("event_timestamp", F.expr("timestamp_micros(event_us)")), "clicks")
 
 
+def request_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The narrow request rows that the aggregates read, without the nested detour."""
+    return _requests(spark, sf_dir).selectExpr(
+        "request_id", "timestamp_micros(event_us) AS event_ts", "publisher_id", "country"
+    )
+
+
+def response_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read(spark, sf_dir, "lineitem").filter("l_orderkey % 5 < 3").selectExpr("l_orderkey AS k").distinct()
+    return _copies(orders, "k % 25 = 4").selectExpr(
+        "concat('r', CAST(k AS string)) AS response_id",
+        "CAST(k AS string) AS request_id",
+        f"timestamp_micros({_RESPONSE_US}) AS event_ts",
+    )
+
+
+def bid_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bid_facts(spark, sf_dir).selectExpr("bid_id", "request_id", "bid_price", "event_timestamp AS event_ts")
+
+
+def impression_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impression_facts(spark, sf_dir).selectExpr(
+        "impression_id", "request_id", "response_id", "bidder_id", "win_price", "event_timestamp AS event_ts"
+    )
+
+
+def click_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return click_facts(spark, sf_dir).selectExpr("click_id", "impression_id", "event_timestamp AS event_ts")
+
+
 _ALWAYS = ["timestamp'2020-01-01' AS valid_from", "CAST(NULL AS timestamp) AS valid_to", "true AS is_current"]
 
 
@@ -469,3 +502,11 @@ EVENTS = {
     "impressions": impression_events,
     "clicks": click_events,
 }
+
+STAGES = {
+    "requests": request_stage,
+    "responses": response_stage,
+    "bids": bid_stage,
+    "impressions": impression_stage,
+    "clicks": click_stage,
+}
