@@ -94,3 +94,9 @@ def compact(spark: SparkSession, path: str, partition: dict[str, str]) -> int:
         rows = rows.filter(F.col(name) == F.lit(value))
     replace_partitions(rows.repartition(files), path, list(partition))
     return files
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library wrote."""
+    files, target = _hadoop_path(spark, path)
+    files.delete(target, True)

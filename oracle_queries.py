@@ -759,4 +759,27 @@ def oracles() -> dict[str, str]:
         columns = "*" if table != "bid_requests" else "* EXCLUDE (site_cat), array_to_string(site_cat, ',') AS site_cat"
         out[f"ingest_{table}"] = with_ctes(f"SELECT {columns} FROM {table}", table)
     out |= _aggregates() | _views() | _reports() | _charts() | _dims()
+    # Streams and incremental tables must equal the batch result over all data.
+    out |= {
+        "stream_ingest": out["ingest_dq_rejected_events"],
+        "stream_rolling": out["rolling_bidder"],
+        "stream_funnel": out["funnel_hourly"],
+        "stream_serving": out["serving_1m"],
+        "stream_landscape": out["landscape_hourly"],
+        "mat_append": out["v_event_enriched_bid_requests"],
+        "mat_late_repair": out["v_agg_serving_metrics"],
+        "mat_lookback_repair": out["v_event_enriched_impressions"],
+        "mat_dim_repair": out["v_agg_bid_landscape"],
+        "mat_funnel_repair": out["v_event_enriched_full_funnel"],
+        "stream_click_join": with_ctes(
+            """SELECT i.impression_id, bidder_id, win_price, i.event_timestamp AS event_ts, click_id,
+                c.event_timestamp AS click_ts
+            FROM impressions i LEFT JOIN (SELECT click_id, impression_id, event_timestamp FROM clicks) c
+                ON c.impression_id = i.impression_id
+                AND c.event_timestamp BETWEEN i.event_timestamp AND i.event_timestamp + INTERVAL 60 SECOND""",
+            "impressions",
+            "clicks",
+        ),
+        "stream_funnel_chain": with_ctes("SELECT DISTINCT * FROM timed_chain", "timed_chain"),
+    }
     return out
