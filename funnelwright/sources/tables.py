@@ -53,6 +53,15 @@ def time_range(df: DataFrame, lo, hi, ts: str = "event_timestamp") -> DataFrame:
     return out
 
 
+def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring rows of a partition together before a write.
+
+    Few files per partition, while AQE splits a partition too large for one
+    task, so a hot value is still written by many.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partition_by])
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Overwrite exactly the partitions present in ``df``.
 
@@ -60,7 +69,8 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     retries after a lost executor or driver safe.
     """
     (
-        df.write.mode("overwrite")
+        balanced(df, partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
@@ -71,12 +81,14 @@ def append_facts(df: DataFrame, root: str, table: str) -> None:
     """Append to a fact table, partitioned by day and its second column."""
     second = FACT_PARTITIONS[table]
     columns = ["event_date"] + ([second] if second else [])
-    with_event_date(conform(df, table)).write.mode("append").partitionBy(*columns).parquet(f"{root}/{table}")
+    rows = balanced(with_event_date(conform(df, table)), columns)
+    rows.write.mode("append").partitionBy(*columns).parquet(f"{root}/{table}")
 
 
 def create_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Full load: the table holds the rows of ``df`` and nothing else."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    rows = balanced(df, partition_by) if partition_by else df
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -86,13 +98,20 @@ def compact(spark: SparkSession, path: str, partition: dict[str, str]) -> int:
     """Rewrite one partition into files of about 128 MB; returns the file count.
 
     Rows go to files round robin, so a hot key does not make one large file.
+    Only dynamic overwrite lets a job replace a partition that it reads.
     """
     folder = path + "".join(f"/{name}={value}" for name, value in partition.items())
     files = max(1, -(-path_bytes(spark, folder) // TARGET_FILE_BYTES))
     rows = spark.read.parquet(path)
     for name, value in partition.items():
         rows = rows.filter(F.col(name) == F.lit(value))
-    replace_partitions(rows.repartition(files), path, list(partition))
+    (
+        rows.repartition(files)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition)
+        .parquet(path)
+    )
     return files
 
 

@@ -68,14 +68,18 @@ def _untagged(ts: str, alias: str):
 def funnel_chain_stream(
     requests: DataFrame, responses: DataFrame, impressions: DataFrame, clicks: DataFrame
 ) -> DataFrame:
-    """The three-hop left chain of stage streams.
+    """The three-hop left chain of stage streams, each event once.
 
     A chained stream join allows one event time. That is the request's; the
     times of later stages are carried as plain values, with the exact bound
     of each hop as a further test. The bound from the request clock follows
     from the sum of the hops.
     """
-    chain = requests.select("request_id", "publisher_id", "event_ts").withWatermark("event_ts", LATENESS)
+    chain = (
+        requests.select("request_id", "publisher_id", "event_ts")
+        .withWatermark("event_ts", LATENESS)
+        .dropDuplicatesWithinWatermark(["request_id"])
+    )
     hops = [
         (responses, "request_id", "response_id", "response_ts", RESPONSE_WAIT),
         (impressions, "response_id", "impression_id", "impression_ts", IMPRESSION_WAIT),
@@ -85,8 +89,11 @@ def funnel_chain_stream(
     for events, key, id_column, ts, wait in hops:
         since_request += wait
         side = (
-            events.select(F.col(key).alias("_key"), F.col(id_column).alias(f"_{id_column}"), F.col("event_ts").alias("_ts"))
+            events.select(
+                F.col(key).alias("_key"), F.col(id_column).alias(f"_{id_column}"), F.col("event_ts").alias("_ts")
+            )
             .withWatermark("_ts", LATENESS)
+            .dropDuplicatesWithinWatermark([f"_{id_column}"])
         )
         condition = (
             (F.col(key) == F.col("_key"))

@@ -112,7 +112,7 @@ def upsert_batch(batch: DataFrame, batch_id: int, root: str, tables: list[str])
     frames = _landed(spark, root, hours)
     for table in tables:
         fresh = AGGREGATES[table](frames).withColumn("window_hour", F.date_format("window_start", _HOUR))
-        fresh = fresh.filter(F.col("window_hour").isin(hours)).repartition("window_hour")
+        fresh = fresh.filter(F.col("window_hour").isin(hours))
         replace_partitions(fresh, f"{root}/{table}", ["window_hour"])
 
 

@@ -11,8 +11,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelwright.model import DIMENSION_KEYS, event_schema
-from funnelwright.operators import stages
+from funnelwright.model import DIMENSION_KEYS
 from funnelwright.plans.materialise import SPECS, materialise
 from funnelwright.session import work_dir
 from funnelwright.sources import derived
@@ -117,12 +116,7 @@ def stream_funnel_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four-stage chain, each event once."""
     root = _folder(spark, "chain")
     streams = _stage_streams(spark, sf_dir, root, ["requests", "responses", "impressions", "clicks"])
-    ids = {"requests": "request_id", "responses": "response_id", "impressions": "impression_id", "clicks": "click_id"}
-    unique = {
-        name: df.withWatermark("event_ts", "30 seconds").dropDuplicatesWithinWatermark([ids[name]])
-        for name, df in streams.items()
-    }
-    chain = funnel_chain_stream(*[unique[name] for name in ids])
+    chain = funnel_chain_stream(*streams.values())
     return (
         _drain(chain, root)
         .filter("request_id NOT LIKE 'sentinel%'")
