@@ -21,6 +21,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Folders made for local sessions that name none.
+_LOCAL_DIRS: dict[str, str] = {}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session and return it."""
@@ -50,13 +53,12 @@ def work_dir(spark: SparkSession) -> str:
     fall back to a temporary folder; on a cluster the setting is required,
     since executors cannot see each other's disks.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if shared:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    shared = tempfile.mkdtemp(prefix="funnelwright-")
-    spark.conf.set("spark.checkpoint.dir", shared)
-    return shared
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="funnelwright-")
+    return _LOCAL_DIRS[application]
