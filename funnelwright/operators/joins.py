@@ -15,6 +15,11 @@ BROADCAST_ROWS = 200_000
 # sixteen of the right side is copied into a second bucket.
 BUCKET_FACTOR = 16
 
+# Keys with more rows than this on the right of a left join get their own join.
+# Looking for them takes a pass over the key column, skipped below the size.
+HOT_ROWS = 10_000_000
+HOT_CHECK_BYTES = 4 * 1024**3
+
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate, None where the session does not expose it."""
@@ -117,3 +122,26 @@ def interval_join(
         & delta.between(lower * 1_000_000, upper * 1_000_000)
     )
     return here.join(near, condition, how).drop("_bucket", "_right_key", "_right_bucket")
+
+
+def left_join(
+    left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS, check_bytes: int = HOT_CHECK_BYTES
+) -> DataFrame:
+    """Left join whose right side may hold very hot keys.
+
+    Spark can split a skewed right side only in an inner join. A key that is
+    hot on the right has matches by definition, so its rows can be joined
+    inner, apart from the others, with the same result.
+    """
+    size = estimated_bytes(right)
+    if size is not None and size < check_bytes:
+        return left.join(right, key, "left")
+    counts = right.groupBy(key).count().filter(F.col("count") > hot_rows).filter(F.col(key).isNotNull())
+    # At most one key per hot_rows rows, so a short list.
+    keys = counts.select(key).collect()
+    if not keys:
+        return left.join(right, key, "left")
+    hot = F.broadcast(left.sparkSession.createDataFrame(keys, counts.select(key).schema))
+    rest = left.join(hot, key, "left_anti").join(right.join(hot, key, "left_anti"), key, "left")
+    heavy = left.join(hot, key, "left_semi").join(right.join(hot, key, "left_semi"), key)
+    return rest.unionByName(heavy)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from funnelwright.functions import hour_of, ratio
 from funnelwright.operators.funnel import leakage, linked_funnel
-from funnelwright.operators.joins import dim_join, sized_broadcast
+from funnelwright.operators.joins import dim_join, left_join, sized_broadcast
 from funnelwright.operators.landscape import linked_landscape
 
 Tables = Mapping[str, DataFrame]
@@ -249,11 +249,9 @@ def full_funnel(tables: Tables) -> DataFrame:
     clicks = tables["clicks"].select(
         "impression_id", "click_id", "click_url", F.col("event_timestamp").alias("click_timestamp")
     )
-    chain = (
-        requests.join(responses, "request_id", "left")
-        .join(impressions, "response_id", "left")
-        .join(clicks, "impression_id", "left")
-    )
+    chain = left_join(requests, responses, "request_id")
+    chain = left_join(chain, impressions, "response_id")
+    chain = left_join(chain, clicks, "impression_id")
     rows = _bid_dims(_request_dims(chain, tables), tables)
     return rows.select(
         "request_id",

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from funnelwright.operators import funnel, landscape, quality, serving
-from funnelwright.operators.joins import interval_join
+from funnelwright.operators.joins import interval_join, left_join
 from funnelwright.sources import derived
 
 SF = "/root/testdata/sf0.001"
@@ -108,3 +108,12 @@ def test_funnel_scans_each_input_once(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan parquet") == 4
     assert plan.count("ReusedExchange") == 3
+
+
+def test_left_join_apart_for_hot_keys(spark, rows_of):
+    left = spark.createDataFrame([(None, 0), ("hot", 1), ("hot", 2), ("cold", 3), ("lone", 4)], "k string, l int")
+    right = spark.createDataFrame([("hot", i) for i in range(20)] + [("cold", 99), (None, 7)], "k string, r int")
+    want = left.join(right, "k", "left")
+    got = left_join(left, right, "k", hot_rows=5, check_bytes=0)
+    assert rows_of(got) == rows_of(want.select(*got.columns))
+    assert rows_of(left_join(left, right, "k", hot_rows=50, check_bytes=0)) == rows_of(want)

@@ -2,13 +2,13 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from funnelwright.operators import dims
+from funnelwright.operators import dims, funnel, stages
 from funnelwright.plans.materialise import SPECS, materialise, read_watermark
 from funnelwright.plans.views import VIEWS
 from funnelwright.sources import derived
-from funnelwright.sources.tables import append_facts, compact, read_table, replace_partitions, time_range
+from funnelwright.sources.tables import append_facts, compact, create_table, read_table, replace_partitions, time_range
 from funnelwright.streaming.ingest import write_batch
-from funnelwright.streaming.upsert import AGGREGATES, envelope, upsert_batch
+from funnelwright.streaming.upsert import envelope, upsert_batch
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,18 +72,17 @@ def test_late_click_updates_the_hour_of_its_request(spark, tmp_path, rows_of):
         events[name] = spark.read.parquet(f"{root}/in/{name}")
     early = events | {"clicks": events["clicks"].filter("click_id LIKE '%-0'")}
     late = {n: df.filter("false") for n, df in events.items()} | {"clicks": events["clicks"].filter("click_id LIKE '%-1'")}
-    table = "hourly_funnel_by_publisher"
-    upsert_batch(envelope(early), 0, root, [table])
+    table, losses = "hourly_funnel_by_publisher", "funnel_leakage_hourly"
+    upsert_batch(envelope(early), 0, root, [table, losses])
     for _ in range(2):
-        upsert_batch(envelope(late), 1, root, [table])
-    from funnelwright.operators import funnel, stages
-
+        upsert_batch(envelope(late), 1, root, [table, losses])
     want = funnel.hourly_funnel(
         *[stages.STAGES[s][1](events[stages.STAGES[s][0]]) for s in ("requests", "responses", "impressions", "clicks")]
     )
     got = spark.read.parquet(f"{root}/{table}").select(*want.columns)
     assert rows_of(got) == rows_of(want)
-    assert set(AGGREGATES) >= {table}
+    lost = funnel.leakage(want, "window_start")
+    assert rows_of(spark.read.parquet(f"{root}/{losses}").select(*lost.columns)) == rows_of(lost)
 
 
 def test_interrupted_materialisation_recovers(spark, tmp_path, rows_of):
@@ -100,8 +99,6 @@ def test_interrupted_materialisation_recovers(spark, tmp_path, rows_of):
     stored = spark.read.parquet(path).filter(F.col("event_date") == day)
     stored.write.partitionBy("event_date").parquet(f"{root}/_staging/{spec.table}")
     spark.read.parquet(path).filter(F.col("event_date") != day).write.partitionBy("event_date").parquet(f"{root}/copy")
-    from funnelwright.sources.tables import create_table
-
     create_table(spark.read.parquet(f"{root}/copy"), path, ["event_date"])
     everything = tables | {"clicks": clicks}
     for _ in range(2):
