@@ -150,17 +150,17 @@ def funnel_summary(
 ) -> DataFrame:
     """Whole-table funnel in one row.
 
-    Impressions hang on the request here, not on the response.
+    Impressions hang on the request here, not on the response. Both sides of
+    each join are distinct, so an inner join tests for existence; a semi join
+    would be moved below the distinct and shuffle the copies as well.
     """
     base = edges(requests, "request_id")
-    answered = base.join(edges(responses, "request_id"), "request_id", "left_semi")
+    answered = base.join(edges(responses, "request_id"), "request_id")
     won = (
         edges(impressions, "request_id", "impression_id")
-        .join(base, "request_id", "left_semi")
+        .join(base, "request_id")
         .select("impression_id")
         .distinct()
     )
-    clicked = (
-        edges(clicks, "impression_id", "click_id").join(won, "impression_id", "left_semi").select("click_id")
-    )
+    clicked = edges(clicks, "impression_id", "click_id").join(won, "impression_id").select("click_id")
     return _count_stages([base, answered, won, clicked], [])
