@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from funnelwright.llm import winnow
+from funnelwright.llm import pseudonyms, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": winnow.op1_winnowing,
+    "op2_pseudonyms": pseudonyms.op2_pseudonyms,
 }
 
 ORACLES: dict[str, str] = {}
