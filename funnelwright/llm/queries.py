@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from funnelwright.llm import pseudonyms, winnow
+from funnelwright.llm import licences, pseudonyms, sharding, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": winnow.op1_winnowing,
     "op2_pseudonyms": pseudonyms.op2_pseudonyms,
+    "op4_sharding": sharding.op4_sharding,
+    "op8_licences": licences.op8_licences,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_sharding": sharding.OP4_SQL,
+    "op8_licences": licences.OP8_SQL,
+}
