@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,19 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Enough wherever executors see the same path, as with a local master; elsewhere
+    the package is installed on the executors or shipped with ``--py-files``.
+    """
+    here = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if here not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), here])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a step into the folder that all executors share, and read it back.
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from funnelwright.llm.common import documents, stored
+from funnelwright.llm.common import documents, stored, workers_import
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -126,6 +126,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     pieces. ``with_ids`` adds the ids. No shuffle.
     """
     path = tokenizer or default_tokenizer()
+    workers_import(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = word_ids(path)
