@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from funnelwright.llm import licences, neardup, packing, pseudonyms, sharding, winnow
+from funnelwright.llm import licences, neardup, packing, pseudonyms, quality, sharding, toxicity, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": winnow.op1_winnowing,
     "op2_pseudonyms": pseudonyms.op2_pseudonyms,
     "op4_sharding": sharding.op4_sharding,
     "op6_near_duplicates": neardup.op6_near_duplicates,
+    "op7_quality": quality.op7_quality,
     "op8_licences": licences.op8_licences,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_packing": packing.op10_packing,
 }
 

@@ -51,24 +51,28 @@ def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and first and past-the-end byte of every word, and each text's first word with the total at the end.
-
-    Words are runs without ASCII white space; A-Z count as a-z if ``lower``. A
-    word's hash sums random numbers drawn for its bytes by place.
+def runs(
+    texts: pa.Array, lower: bool = True, breaks: np.ndarray = _SPACE, prefixes: tuple[int, ...] = ()
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Hash, first and past-the-end byte of every run of bytes that do not break, each
+    text's first run with the total at the end, and hashes of the runs' prefixes.
+
+    A-Z count as a-z if ``lower``. A run's hash sums random numbers drawn for its
+    bytes by place; so does that of its first k bytes, 0 if it is shorter.
     """
     data, offsets = _bytes(texts)
     if lower:
         data = _LOWER[data]
-    solid = ~_SPACE[data]
+    solid = ~breaks[data]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
     begins[firsts] = solid[firsts]
     starts = np.flatnonzero(begins)
     if not len(starts):
+        none = np.zeros(0, np.uint64)
         empty = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), empty, empty, np.zeros(len(offsets), np.int64)
+        return none, empty, empty, np.zeros(len(offsets), np.int64), [none for _ in prefixes]
     kept = np.flatnonzero(solid)
     first_kept = np.flatnonzero(begins[kept])
     lengths = np.diff(np.append(first_kept, len(kept)))
@@ -80,7 +84,18 @@ def words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray,
         powers = np.cumprod(np.full(int(block.max()) + 1, _STRETCH, dtype=np.uint64))
         values[far] *= powers[block[far]]
     hashes = mix(np.add.reduceat(values, first_kept) + lengths.astype(np.uint64))
-    return hashes, starts, starts + lengths, np.searchsorted(starts, offsets)
+    heads = []
+    if prefixes:
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+        for k in prefixes:
+            head = total[np.minimum(first_kept + k, len(values))] - total[first_kept]
+            heads.append(np.where(lengths >= k, mix(head + np.uint64(k << 32)), np.uint64(0)))
+    return hashes, starts, starts + lengths, np.searchsorted(starts, offsets), heads
+
+
+def words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``runs`` without ASCII white space."""
+    return runs(texts, lower)[:4]
 
 
 def shingle_sets(texts: pa.Array, size: int = SIZE) -> list[np.ndarray]:
