@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from funnelwright.llm import licences, neardup, packing, pieces, pseudonyms, quality, sharding, toxicity, winnow
+from funnelwright.llm import licences, linededup, neardup, packing, pieces, pseudonyms, quality, sharding, toxicity, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": winnow.op1_winnowing,
     "op2_pseudonyms": pseudonyms.op2_pseudonyms,
     "op3_pieces": pieces.op3_pieces,
     "op4_sharding": sharding.op4_sharding,
+    "op5_lines": linededup.op5_lines,
     "op6_near_duplicates": neardup.op6_near_duplicates,
     "op7_quality": quality.op7_quality,
     "op8_licences": licences.op8_licences,
