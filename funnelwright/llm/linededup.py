@@ -403,6 +403,10 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage of the pipeline: every document stays, without lines that came before."""
-    done = without_repeats(docs)
+    """Stage of the pipeline: documents without lines that came before.
+
+    A document of which nothing but white space is left repeats others throughout
+    and goes; documents that lost no line stay, empty ones too.
+    """
+    done = without_repeats(docs).filter((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return done.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)

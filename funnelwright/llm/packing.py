@@ -316,4 +316,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Last stage of the pipeline: where each piece of each document goes."""
-    return pack(pieces(docs))
+    return pack(pieces(docs)).select(*PIECE_NAMES, "sequence_id", "offset")

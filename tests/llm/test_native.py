@@ -1,0 +1,178 @@
+"""The operators made of built-in functions against plain Python versions."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from funnelwright.llm import licences, pseudonyms, sharding, winnow
+
+DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, ids string, found string"
+
+
+def docs_of(spark, texts, ids=None):
+    ids = range(len(texts)) if ids is None else ids
+    rows = [(i, t, "en", "s", len(t or ""), "x", "y", "z") for i, t in zip(ids, texts, strict=True)]
+    return spark.createDataFrame(rows, DOC)
+
+
+EDGE = ["", None, "a", "tie tie tie tie tie tie tie tie", "word " * 4000, "same text here", "same text here", "é中😀" * 40]
+
+
+def winnowed(grams, w):
+    """Rightmost minimum of each window, by position."""
+    out = []
+    windows = max(len(grams) - w + 1, 1) if grams else 0
+    for j in range(windows):
+        part = grams[j : j + w]
+        least = min(part)
+        at = j + max(i for i, h in enumerate(part) if h == least)
+        if not out or out[-1] != at:
+            out.append(at)
+    return out
+
+
+def test_winnowing_keeps_rightmost_minima(spark):
+    random.seed(3)
+    texts = EDGE[:4] + ["".join(random.choice("abé ") for _ in range(n)) for n in (5, 12, 13, 27, 28, 29, 200)]
+    rows = winnow.fingerprint(docs_of(spark, texts)).select("doc_id", "fingerprint").collect()
+    grams_of = spark.createDataFrame(
+        [
+            (i, p, (t or "")[p : p + winnow.K])
+            for i, t in enumerate(texts)
+            for p in range(max(len(t or "") - winnow.K + 1, 1) if t else 0)
+        ],
+        "i int, p int, g string",
+    ).select("i", "p", F.xxhash64(F.encode("g", "UTF-32")).alias("h"))
+    hashes = {}
+    for r in grams_of.collect():
+        hashes.setdefault(r.i, {})[r.p] = r.h
+    for r in rows:
+        own = [hashes.get(r.doc_id, {})[p] for p in range(len(hashes.get(r.doc_id, {})))]
+        want = winnowed([h & 0x7FFFFFFF for h in own], winnow.W)
+        assert [e.position for e in r.fingerprint] == sorted(set(want))
+        assert [e.hash for e in r.fingerprint] == [own[p] for p in sorted(set(want))]
+
+
+def test_edited_texts_and_neighbours(spark):
+    texts = EDGE + [f"text number {i} with some words {i * i} in it" for i in range(30)]
+    ids = [7 * i for i in range(len(texts))]
+    out = {r.doc_id: r for r in winnow.compare_edited(docs_of(spark, texts, ids)).collect()}
+    assert len(out) == len(texts)
+    alone = {
+        r.doc_id: {e.hash for e in r.fingerprint} for r in winnow.fingerprint(docs_of(spark, texts, ids)).collect()
+    }
+    edits = []
+    for k, i in enumerate(ids):
+        text, after = texts[k] or "", texts[(k + 1) % len(texts)] or ""
+        half = len(text) // 2
+        edits.append(text[: len(text) - half] + after[:half])
+        assert out[i].n_chars == len(text)
+        assert out[i].edited_sha256 == hashlib.sha256(edits[-1].encode()).hexdigest()
+    edited = {r.doc_id: {e.hash for e in r.fingerprint} for r in winnow.fingerprint(docs_of(spark, edits, ids)).collect()}
+
+    def like(a, b):
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    for k, i in enumerate(ids):
+        assert out[i].near_edited == pytest.approx(like(alone[i], edited[i]))
+        assert out[i].near_next == pytest.approx(like(alone[i], alone[ids[(k + 1) % len(ids)]]))
+    assert out[ids[5]].fingerprint == out[ids[6]].fingerprint
+
+
+def test_winnowing_odd_tables(spark):
+    assert winnow.compare_edited(docs_of(spark, [])).count() == 0
+    one = winnow.compare_edited(docs_of(spark, ["only one text here, long enough to matter"])).collect()
+    assert one[0].near_next == 1.0
+    repeated = winnow.compare_edited(docs_of(spark, ["a", "b", "b"], [None, 1, 1])).collect()
+    assert len(repeated) == 3
+
+
+def luhn(digits):
+    d = [int(x) for x in digits][::-1]
+    return (sum(d[0::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])) % 10 == 0
+
+
+def test_pseudonyms_keep_format_and_links(spark):
+    texts = [
+        "pay 4111 1111 1111 1111 or 4111111111111111, not 4111111111111112",
+        "again 4111111111111111 on 1999-03-04 and 3/4/1999, never 2001-02-30",
+        "ssn 123-45-6789 is not 000-12-3456; iban DE89370400440532013000 is not DE00370400440532013000",
+        "call +1 (217) 555-1234, ip 10.20.30.40 not 300.1.1.1, mail a.b@c.example.com A.B@c.example.com",
+        "clean text, version 2.0 of 12 items",
+        None,
+        "",
+    ]
+    out = [r.text for r in pseudonyms.pseudonymise(docs_of(spark, texts), "key").orderBy("doc_id").collect()]
+    cards = re.findall(r"\d{4} \d{4} \d{4} \d{4}|\d{16}", out[0])
+    assert luhn(cards[0].replace(" ", "")) and cards[0].replace(" ", "") == cards[1] != "4111111111111111"
+    assert "4111111111111112" in out[0] and cards[1] in out[1]
+    iso, slashed = re.search(r"on (\S+) and (\S+),", out[1]).groups()
+    month, day, year = slashed.split("/")
+    assert iso == f"{year}-{int(month):02}-{int(day):02}" != "1999-03-04" and "2001-02-30" in out[1]
+    assert re.search(r"ssn (?!123)\d{3}-\d{2}-\d{4} is not 000-12-3456", out[2])
+    iban = re.search(r"iban (DE\d{20}) is not DE00370400440532013000", out[2])[1]
+    moved = iban[4:] + "1314" + iban[2:4]
+    assert iban != "DE89370400440532013000" and int(moved) % 97 == 1
+    mails = re.findall(r"\S+@c.example.com", out[3])
+    assert mails[0] == mails[1] and "a.b@" not in out[3] and "300.1.1.1" in out[3]
+    assert re.search(r"call \+1 \(\d{3}\) \d{3}-\d{4}", out[3]) and "555-1234" not in out[3]
+    assert out[4:] == texts[4:]
+    other = pseudonyms.pseudonymise(docs_of(spark, texts[:1]), "another").first().text
+    assert other != out[0]
+
+
+def test_pseudonyms_permute_whole_domains(spark):
+    key = F.lit("k")
+    days = spark.sql("SELECT explode(sequence(date'1900-01-01', date'2099-12-31')) AS d")
+    moved = days.select(pseudonyms._moved_date(F.col("d"), key).alias("m"))
+    row = moved.agg(F.count("m").alias("n"), F.count_distinct("m").alias("k"), F.min("m"), F.max("m")).first()
+    assert row.n == row.k == 73049 and str(row[2]) == "1900-01-01" and str(row[3]) == "2099-12-31"
+    strings = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("s"))
+    new = strings.select(pseudonyms.permute_symbols(F.col("s"), "0123456789", key, F.lit("t")).alias("m"))
+    assert new.filter("length(m) = 3").distinct().count() == 1000
+
+
+def test_shards_fit_and_split_only_where_needed(spark):
+    random.seed(5)
+    texts = ["x" * random.randint(0, 300) for _ in range(400)] + ["y" * 5000, None] + ["same"] * 300
+    ids = [*range(401), None, *[9] * 300]
+    rows = sharding.assign(docs_of(spark, texts, ids), limit_bytes=1000).collect()
+    assert len(rows) == len(texts)
+    total, n = {}, {}
+    for r in rows:
+        for depth in range(len(r.shard) + 1):
+            total[r.shard[:depth]] = total.get(r.shard[:depth], 0) + r.n_bytes
+            n[r.shard[:depth]] = n.get(r.shard[:depth], 0) + 1
+    for shard in {r.shard for r in rows}:
+        assert total[shard] <= 1000 or n[shard] == 1
+        assert not shard or total[shard[:-1]] > 1000
+        assert not any(other != shard and other.startswith(shard) for other in {r.shard for r in rows})
+    assert [r.oversized for r in rows if r.n_bytes == 5000] == [True]
+    table = sharding.directory(sharding.assign(docs_of(spark, texts[:300]), limit_bytes=5000)).orderBy("entry").collect()
+    assert [r.entry for r in table] == list(range(len(table))) and len(table) & (len(table) - 1) == 0
+    assert sharding.assign(docs_of(spark, [])).count() == 0
+
+
+def test_licences_by_canonical_digest(spark):
+    mit = next(t for name, t in licences.KNOWN if name == "MIT" and len(t) > 500)
+    texts = [
+        "Copyright (c) 2001 Someone\n" + mit.upper().replace(",", " ;"),
+        "intro\nReleased   under the MIT-Licence!\nend",
+        "mentions that it is released under the MIT License and more",
+        "Copyright 2020 X",
+        "",
+        None,
+        "Licensed under CC BY-NC 4.0.\nLicensed under CC BY-NC 4.0.",
+    ]
+    out = licences.licences(docs_of(spark, texts), licences.known_digests(spark)).orderBy("doc_id").collect()
+    assert [r.document_license for r in out] == ["MIT", None, None, None, None, None, None]
+    assert [r.line_licenses for r in out] == ["MIT", "MIT", "", "", "", "", "CC-BY-NC-4.0"]
+    assert [r.n_license_lines for r in out] == [1, 1, 0, 0, 0, 0, 2]
+    twice = licences.licences(docs_of(spark, texts[1:2] * 2, [1, 1]), licences.known_digests(spark)).collect()
+    assert [r.n_license_lines for r in twice] == [1, 1]
+    assert licences.licences(docs_of(spark, []), licences.known_digests(spark)).count() == 0
