@@ -2,7 +2,7 @@
 
 Each group's centre and scatter are minimum-covariance-determinant estimates: a
 robust start (medians and median deviations), then concentration steps that
-re-estimate both from the three quarters of the rows nearest so far, until the
+re-estimate both from the three fifths of the rows nearest so far, until the
 determinant no longer falls, and one reweighting. A document whose transformed
 statistics lie too far off by Mahalanobis distance is rejected. Every step is an
 aggregation over a narrow stored table, so a group of any size is spread.
@@ -23,7 +23,7 @@ from funnelwright.llm.common import documents, stored, workers_import
 from funnelwright.llm.shingles import _PLACES, SIZE, _bytes, chunks, mix, words
 
 #: Part of a group that the estimates rest on, and the steps at most.
-SHARE = 0.75
+SHARE = 0.6
 STEPS = 8
 #: Chance that a normal document of a group lies beyond the limit.
 BEYOND = 1e-6
