@@ -24,7 +24,7 @@ from funnelwright.llm.common import documents, labels, workers_import
 from funnelwright.llm.shingles import chunks, runs, shingle_sets
 
 #: Labelled documents that the model is fitted on, at most; chosen by a hash of their ids.
-SAMPLE = 3000
+SAMPLE = 2000
 THRESHOLD = 0.3
 #: Bytes of a word's beginnings that are features, besides the word itself.
 PREFIXES = (3, 4, 5, 6, 8)
@@ -44,6 +44,17 @@ def tokens(texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, n
     return [word, *heads], starts, ends, bounds
 
 
+def _all_tokens(texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
+    """Features and bounds of many texts, read in chunks to save memory."""
+    parts, bounds = [], [np.zeros(1, np.int64)]
+    for lo, hi in chunks(texts):
+        features, _, _, own = tokens(texts[lo:hi])
+        parts.append(features)
+        bounds.append(own[1:] + bounds[-1][-1])
+    features = [np.concatenate(f) for f in zip(*parts, strict=True)] or [np.zeros(0, np.uint64)]
+    return features, np.concatenate(bounds)
+
+
 class Lanes:
     """Tokens of many texts laid out as rows of LANE columns, each text in rows of its own."""
 
@@ -53,8 +64,8 @@ class Lanes:
         self.first_row = np.concatenate([[0], np.cumsum(self.rows_of)])
         self.n = int(self.first_row[-1])
         within = np.arange(int(bounds[-1])) - np.repeat(bounds[:-1], lengths)
-        self.row = np.repeat(self.first_row[:-1], lengths) + within // LANE
-        self.column = within % LANE
+        self.row = (np.repeat(self.first_row[:-1], lengths) + within // LANE).astype(np.int32)
+        self.column = (within % LANE).astype(np.int32)
         self.filled = np.bincount(self.row, minlength=self.n)
 
     def spread(self, values: np.ndarray, blank: float) -> np.ndarray:
@@ -201,6 +212,15 @@ def _marks(feature: np.ndarray, doc: np.ndarray, toxic: np.ndarray, weight: np.n
     return values, index, marked, n
 
 
+def _pair(ahead: np.ndarray, back: np.ndarray, x: np.ndarray, step: np.ndarray, i: int, j: int) -> np.ndarray:
+    """Unnormalised chance of labels i and j at a token and the next one of its lane."""
+    out = ahead[:-1, i] * back[1:, j]
+    out *= math.exp(step[i, j])
+    if j:
+        out *= x[1:]
+    return out
+
+
 def fit(texts: list[str], toxic: list[int]) -> Model:
     """Fit the chain and the score curve to labelled texts, on one machine.
 
@@ -214,7 +234,7 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     if not 0 < y.sum() < len(y):
         return flat
     column = pa.array(texts, pa.large_string())
-    features, _, _, bounds = tokens(column)
+    features, bounds = _all_tokens(column)
     if not len(features[0]):
         return flat
     weight = _copy_weights(column)
@@ -227,8 +247,9 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
         useful = (n >= 2) & (values != 0)
         renamed = np.where(useful, np.cumsum(useful) - 1 + offset, -1)
         keys.append(values[useful])
-        indices.append(renamed[index])
+        indices.append(renamed[index].astype(np.int32))
         offset += int(useful.sum())
+    del features
     if not label.any():
         return flat
     target = label.astype(np.float64)
@@ -244,7 +265,9 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     lane_weight = np.zeros(lanes.n)
     lane_weight[lanes.row] = token_weight
     for _ in range(STEPS):
-        odds = bias + sum(w[i] for i in indices)
+        odds = np.full(len(target), bias)
+        for i in indices:
+            odds += w[i]
         ahead, back, x, there, p = marginals(np.exp(np.clip(odds, -30, 30)), np.exp(step), lanes)
         error = (target - p) * token_weight
         gradient = -RIDGE * w
@@ -256,14 +279,13 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
         bias_squares += error.sum() ** 2
         bias += 0.5 * error.sum() / math.sqrt(bias_squares)
         expected = np.empty((2, 2))
-        joint = [
-            [ahead[:-1, i] * math.exp(step[i, j]) * (x[1:] if j else 1.0) * back[1:, j] for j in (0, 1)] for i in (0, 1)
-        ]
-        total = joint[0][0] + joint[0][1] + joint[1][0] + joint[1][1]
-        share = there[1:] * lane_weight / total
+        share = _pair(ahead, back, x, step, 0, 0)
+        for i, j in ((0, 1), (1, 0), (1, 1)):
+            share += _pair(ahead, back, x, step, i, j)
+        share = there[1:] * lane_weight / share
         for i in (0, 1):
             for j in (0, 1):
-                expected[i, j] = (joint[i][j] * share).sum()
+                expected[i, j] = (_pair(ahead, back, x, step, i, j) * share).sum()
         change = observed - expected - RIDGE * step
         change -= change.mean()
         step_squares += change**2
@@ -272,7 +294,8 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     order = np.argsort(every)
     order = order[np.abs(w[:-1][order]) > 1e-3]
     model = Model(every[order], w[:-1][order], bias, step, np.zeros(3))
-    model.curve = _curve(summary(model.token_marginals(features, bounds, model.slots()), bounds), y)
+    del indices, ahead, back, x, there
+    model.curve = _curve(summary(model.token_marginals(_all_tokens(column)[0], bounds, model.slots()), bounds), y)
     return model
 
 
