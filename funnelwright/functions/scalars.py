@@ -25,14 +25,17 @@ PRIVATE_PREFIXES = (
 
 
 def event_time(text: Column) -> Column:
-    """ISO text to a timestamp, NULL if unreadable.
+    """ISO date and time to a timestamp, NULL for text of another shape.
 
-    The first 26 characters carry microseconds and leave out the offset, which
-    is right for UTC text. ISO writers drop a fraction of zero; then the 26
-    characters end with the offset, which is read as such. Reading by cast
-    costs no exception per odd row, unlike reading by pattern.
+    The text must hold a date, a T and a time to the second, with up to six
+    digits of a fraction if any. What follows is cut off, an offset too, so
+    every writer's clock is read as UTC however many digits it writes. A time
+    or a year alone is no event time. Reading by cast costs no exception per
+    odd row, unlike reading by pattern.
     """
-    return F.coalesce(F.try_to_timestamp(F.substring(text, 1, 26)), F.try_to_timestamp(text))
+    shaped = (F.length(text) >= 19) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 11, 1) == "T")
+    fraction = F.regexp_extract(F.substring(text, 20, 7), r"^\.[0-9]{1,6}", 0)
+    return F.when(shaped, F.try_to_timestamp(F.concat(F.substring(text, 1, 19), fraction)))
 
 
 def hour_of(ts: Column) -> Column:

@@ -7,29 +7,60 @@ from pyspark.sql import functions as F
 
 from funnelwright.model import DIMENSION_KEYS, conform
 from funnelwright.operators.joins import sized_broadcast
-from funnelwright.sources.tables import read_table, table_exists
+from funnelwright.sources.tables import create_table, delete_path, path_exists, read_table, table_exists
+
+
+LOADED = "_load"
 
 
 def load_dimension(spark: SparkSession, rows: DataFrame, table: str, root: str) -> DataFrame:
-    """Append versions that the table lacks; loading the same rows again adds none."""
-    fresh = conform(rows, table).dropDuplicates([DIMENSION_KEYS[table], "valid_from"])
-    if table_exists(spark, root, table):
-        known = read_table(spark, root, table)
-        fresh = fresh.join(known, [DIMENSION_KEYS[table], "valid_from"], "left_anti")
-    fresh.write.mode("append").parquet(f"{root}/{table}")
+    """Bring the stored versions up to date with a load; loading the same rows again changes nothing.
+
+    Of one key and start of validity the newest load counts, so a version can be
+    closed or retired later. The table is staged in full before it is replaced,
+    and an interrupted load publishes its stage first.
+    """
+    key, path, stage = DIMENSION_KEYS[table], f"{root}/{table}", f"{root}/_staging/{table}"
+    if path_exists(spark, f"{stage}/_SUCCESS"):
+        create_table(spark.read.parquet(stage), path)
+    fresh = conform(rows, table)
+    known = read_table(spark, root, table) if table_exists(spark, root, table) else fresh.limit(0)
+    create_table(restated(known, fresh, key), stage)
+    create_table(read_table(spark, f"{root}/_staging", table), path)
+    delete_path(spark, stage)
     return read_table(spark, root, table)
 
 
+def restated(known: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
+    """Stored and loaded versions, the loaded one where both have it, with validity restated.
+
+    A version ends where the key's next one starts. The last one of a key stays
+    current unless it is explicitly closed or retired.
+    """
+    columns = known.columns
+    both = known.withColumn(LOADED, F.lit(0)).unionByName(fresh.select(*columns).withColumn(LOADED, F.lit(1)))
+    # Rows that a load repeats are ordered by content, so that a retry picks the same one.
+    newest = Window.partitionBy(key, "valid_from").orderBy(
+        F.desc(LOADED), F.col("valid_to").desc_nulls_last(), F.xxhash64(*columns)
+    )
+    versions = both.withColumn("_row", F.row_number().over(newest)).filter("_row = 1").drop("_row", LOADED)
+    following = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
+    return (
+        versions.withColumn("_next", following)
+        .withColumn("is_current", F.coalesce("is_current", F.lit(True)) & F.col("_next").isNull())
+        .withColumn("valid_to", F.coalesce("_next", "valid_to"))
+        .drop("_next")
+        .select(*columns)
+    )
+
+
 def current_version(dim: DataFrame) -> DataFrame:
     return dim.filter("is_current")
 
 
 def apply_changes(dim: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Add new versions and restate each key's validity from its start times."""
-    attributes = [c for c in dim.columns if c not in ("valid_to", "is_current")]
-    versions = dim.select(*attributes).unionByName(changes.select(*attributes)).dropDuplicates([key, "valid_from"])
-    following = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
-    return versions.withColumn("valid_to", following).withColumn("is_current", F.col("valid_to").isNull())
+    """Add new versions and restate each key's validity; a retired key stays retired."""
+    return restated(dim, changes, key)
 
 
 def as_of_join(facts: DataFrame, dim: DataFrame, key: str, ts: str, columns: dict[str, str]) -> DataFrame:

@@ -7,18 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it is known to be at most this large.
-BROADCAST_BYTES = 32 * 1024 * 1024
-BROADCAST_ROWS = 200_000
+# A side is hinted only when its estimate, which is of compressed files, is at
+# most this large; rows in memory may take ten times as much.
+BROADCAST_BYTES = 8 * 1024 * 1024
 
 # A time bucket spans this many times the join interval, so about one row in
 # sixteen of the right side is copied into a second bucket.
 BUCKET_FACTOR = 16
 
-# Keys with more rows than this on the right of a left join get their own join.
-# Looking for them takes a pass over the key column, skipped below the size.
+# Keys with more rows than this on the right of a left join are hot.
 HOT_ROWS = 10_000_000
-HOT_CHECK_BYTES = 4 * 1024**3
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -32,16 +30,13 @@ def estimated_bytes(df: DataFrame) -> int | None:
 def sized_broadcast(df: DataFrame) -> DataFrame:
     """Hint a broadcast if the side is proven small, else leave the choice to AQE.
 
-    The file-based estimate is tried first and costs nothing. Where it is too
-    high or missing (an aggregate is estimated at its input's size), rows are
-    counted, stopping just past the limit.
+    Catalyst's estimate costs nothing. Where it is too high or missing (an
+    aggregate is estimated at its input's size), AQE sees the true size of the
+    side at run time and broadcasts it below its own threshold. No job runs
+    while a plan is built.
     """
     size = estimated_bytes(df)
-    if size is not None and size <= BROADCAST_BYTES:
-        return F.broadcast(df)
-    if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if size is not None and size <= BROADCAST_BYTES else df
 
 
 def dim_join(
@@ -124,24 +119,27 @@ def interval_join(
     return here.join(near, condition, how).drop("_bucket", "_right_key", "_right_bucket")
 
 
-def left_join(
-    left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS, check_bytes: int = HOT_CHECK_BYTES
-) -> DataFrame:
+def hot_keys(right: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows: at most one for so many rows, so a short list.
+
+    Lazy. A job that writes the side can store the list, so that joins read it
+    instead of counting again.
+    """
+    counts = right.filter(F.col(key).isNotNull()).groupBy(key).count()
+    return counts.filter(F.col("count") > hot_rows).select(key)
+
+
+def left_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
     """Left join whose right side may hold very hot keys.
 
     Spark can split a skewed right side only in an inner join. A key that is
-    hot on the right has matches by definition, so its rows can be joined
-    inner, apart from the others, with the same result.
+    hot on the right has matches by definition, so the rows of ``hot`` keys can
+    be joined inner, apart from the others, with the same result. Event ids are
+    near unique, so callers that know of no hot keys pass none.
     """
-    size = estimated_bytes(right)
-    if size is not None and size < check_bytes:
-        return left.join(right, key, "left")
-    counts = right.groupBy(key).count().filter(F.col("count") > hot_rows).filter(F.col(key).isNotNull())
-    # At most one key per hot_rows rows, so a short list.
-    keys = counts.select(key).collect()
-    if not keys:
+    if hot is None:
         return left.join(right, key, "left")
-    hot = F.broadcast(left.sparkSession.createDataFrame(keys, counts.select(key).schema))
+    hot = F.broadcast(hot)
     rest = left.join(hot, key, "left_anti").join(right.join(hot, key, "left_anti"), key, "left")
     heavy = left.join(hot, key, "left_semi").join(right.join(hot, key, "left_semi"), key)
     return rest.unionByName(heavy)

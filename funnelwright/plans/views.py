@@ -201,8 +201,12 @@ def enriched_clicks(tables: Tables) -> DataFrame:
 def full_funnel(tables: Tables) -> DataFrame:
     """Row-level chain of all four stages with all attributes.
 
-    Here the fan-out is the result, one row per path. Names are looked up
-    after the joins, so that only keys travel through the shuffles.
+    Here the fan-out is the result, one row per path. The hops nest from the
+    right: every hop is an equality with the stage before it, which a NULL never
+    passes, so the rows are those of the chain from the left, but the wide
+    request row is shuffled once and no unmatched row leaves a NULL key that
+    the next hop would gather in one task. Names are looked up after the joins,
+    so that only keys travel through the shuffles.
     """
     requests = tables["bid_requests"].select(
         "request_id",
@@ -249,9 +253,9 @@ def full_funnel(tables: Tables) -> DataFrame:
     clicks = tables["clicks"].select(
         "impression_id", "click_id", "click_url", F.col("event_timestamp").alias("click_timestamp")
     )
-    chain = left_join(requests, responses, "request_id")
-    chain = left_join(chain, impressions, "response_id")
-    chain = left_join(chain, clicks, "impression_id")
+    shown = left_join(impressions, clicks, "impression_id")
+    bids = left_join(responses, shown, "response_id")
+    chain = left_join(requests, bids, "request_id")
     rows = _bid_dims(_request_dims(chain, tables), tables)
     return rows.select(
         "request_id",

@@ -17,6 +17,10 @@ RUNTIME_SETTINGS = {
     # shuffle above the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Stream state lives off the heap; this also reaches sessions made elsewhere.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # Sinks replace only the partitions they write.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -39,10 +43,6 @@ def build(app_name: str, master: str | None = None, shuffle_partitions: int | No
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
     return configure(builder.getOrCreate())
 
 

@@ -73,7 +73,9 @@ def funnel_chain_stream(
     A chained stream join allows one event time. That is the request's; the
     times of later stages are carried as plain values, with the exact bound
     of each hop as a further test. The bound from the request clock follows
-    from the sum of the hops.
+    from the sum of the hops. Rows that miss a stage get a key for the next one
+    from their request, which matches no event but spreads them, since a
+    stateful join keeps all rows of one key, NULL too, in one state partition.
     """
     chain = (
         requests.select("request_id", "publisher_id", "event_ts")
@@ -95,14 +97,15 @@ def funnel_chain_stream(
             .withWatermark("_ts", LATENESS)
             .dropDuplicatesWithinWatermark([f"_{id_column}"])
         )
+        chain = chain.withColumn("_link", F.coalesce(key, F.concat(F.lit("\x00missing-"), "request_id")))
         condition = (
-            (F.col(key) == F.col("_key"))
+            (F.col("_link") == F.col("_key"))
             & (F.col("_ts") >= F.col("event_ts"))
             & (F.col("_ts") <= F.col("event_ts") + F.expr(f"interval {since_request} seconds"))
             & (F.unix_micros("_ts") - F.unix_micros(previous)).between(0, wait * 1_000_000)
         )
         chain = chain.join(side, condition, "left").select(
-            *[c for c in chain.columns], F.col(f"_{id_column}").alias(id_column), _untagged("_ts", ts)
+            *[c for c in chain.columns if c != "_link"], F.col(f"_{id_column}").alias(id_column), _untagged("_ts", ts)
         )
         previous = ts
     return chain

@@ -1,9 +1,12 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
+from funnelwright.model import DIMENSION_KEYS
 from funnelwright.operators import funnel, landscape, quality, serving
-from funnelwright.operators.joins import interval_join, left_join
+from funnelwright.operators.joins import hot_keys, interval_join, left_join
+from funnelwright.plans.views import VIEWS
 from funnelwright.sources import derived
 
 SF = "/root/testdata/sf0.001"
@@ -114,6 +117,27 @@ def test_left_join_apart_for_hot_keys(spark, rows_of):
     left = spark.createDataFrame([(None, 0), ("hot", 1), ("hot", 2), ("cold", 3), ("lone", 4)], "k string, l int")
     right = spark.createDataFrame([("hot", i) for i in range(20)] + [("cold", 99), (None, 7)], "k string, r int")
     want = left.join(right, "k", "left")
-    got = left_join(left, right, "k", hot_rows=5, check_bytes=0)
+    got = left_join(left, right, "k", hot_keys(right, "k", 5))
     assert rows_of(got) == rows_of(want.select(*got.columns))
-    assert rows_of(left_join(left, right, "k", hot_rows=50, check_bytes=0)) == rows_of(want)
+    assert rows_of(left_join(left, right, "k", hot_keys(right, "k", 50))) == rows_of(want)
+    assert rows_of(left_join(left, right, "k")) == rows_of(want)
+
+
+def test_wide_request_row_is_shuffled_once(spark, tmp_path):
+    tables = {}
+    for name, build in derived.FACTS.items():
+        build(spark, SF).write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    for name in DIMENSION_KEYS:
+        tables[name] = derived.dimension(spark, SF, name)
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = VIEWS["v_event_enriched_full_funnel"](tables)
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        hashed = re.findall(r"Exchange hashpartitioning\((\w+)#", plan.split("== Initial Plan ==")[-1])
+        # the chain's six exchanges; only the last hop's left side is the request row
+        assert sorted(hashed)[:6] and hashed.count("request_id") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)

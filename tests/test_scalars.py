@@ -16,6 +16,14 @@ def test_event_time(spark):
         ("2024-01-01T02:03:04.123456+00:00", "2024-01-01 02:03:04.123456"),
         ("2024-01-01T02:03:04+00:00", "2024-01-01 02:03:04"),
         ("2024-01-01T02:03:04.123+00:00", "2024-01-01 02:03:04.123"),
+        ("2024-01-01T02:03:04+02:00", "2024-01-01 02:03:04"),
+        ("2024-01-01T02:03:04.123+02:00", "2024-01-01 02:03:04.123"),
+        ("2024-01-01T02:03:04.123456+02:00", "2024-01-01 02:03:04.123456"),
+        ("2024-01-01T02:03:04Z", "2024-01-01 02:03:04"),
+        ("12:30:00", None),
+        ("2024", None),
+        ("2024-01-01 02:03:04", None),
+        ("2024-13-01T02:03:04", None),
         ("nonsense", None),
         (None, None),
     ]

@@ -47,7 +47,8 @@ def test_dimension_load_and_versions(spark, tmp_path):
     first = rows.filter("valid_from < '2024-01-02'")
     merged = dims.apply_changes(first, rows.filter("valid_from >= '2024-01-02'"), "publisher_id")
     current = merged.filter("is_current").select("publisher_id", "publisher_name").collect()
-    assert len(current) == 25 and sum(r.publisher_name.endswith("v2") for r in current) == 9
+    # publisher 24 is retired, and a load of other keys does not bring it back
+    assert len(current) == 24 and sum(r.publisher_name.endswith("v2") for r in current) == 9
     facts = spark.sql(
         "SELECT 1 AS publisher_id, timestamp'2024-01-01 23:59:59' AS ts UNION ALL SELECT 1, timestamp'2024-01-02'"
         " UNION ALL SELECT 99, timestamp'2024-01-02'"
@@ -56,6 +57,17 @@ def test_dimension_load_and_versions(spark, tmp_path):
     assert [r.name for r in joined.collect()] == ["NATION_0 Media", "NATION_0 Media v2", None]
 
 
+def test_dimension_load_closes_and_retires(spark, tmp_path):
+    rows = derived.dimension(spark, SF, "dim_publisher")
+    opened = {"valid_to": F.lit(None).cast("timestamp"), "is_current": F.lit(True)}
+    first = rows.filter("valid_from < '2024-01-02'").withColumns(opened)
+    for load in (first, rows, first.limit(0), rows):
+        stored = dims.load_dimension(spark, load, "dim_publisher", str(tmp_path))
+    counts = stored.groupBy("publisher_id").agg(F.sum(F.col("is_current").cast("int")).alias("n")).collect()
+    assert len(counts) == 25 and all(r.n == int(r.publisher_id != 24) for r in counts)
+    assert stored.count() == 34 and stored.exceptAll(rows.select(*stored.columns)).isEmpty()
+
+
 def test_ingest_batch_is_repeatable(spark, tmp_path):
     events = derived.bid_request_events(spark, SF)
     for _ in range(2):
