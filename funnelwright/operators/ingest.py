@@ -18,9 +18,16 @@ def device_ip() -> Column:
     return F.col("device.ip")
 
 
-def _slots(requests: DataFrame) -> DataFrame:
-    """One row per impression slot; a request without slots has none."""
-    return requests.withColumn("slot", F.explode("imp"))
+def _slots(requests: DataFrame, *more: str) -> DataFrame:
+    """One row per impression slot; a request without slots has none.
+
+    The slot is zipped from the leaves that are used. Each is an array by
+    itself, so the scan reads no other, whatever filter stands above.
+    """
+    leaves = {"id": "imp.id", "w": "imp.banner.w", "h": "imp.banner.h", "bidfloor": "imp.bidfloor"}
+    leaves |= {name: f"imp.{name}" for name in more}
+    zipped = F.arrays_zip(*[F.col(path).alias(name) for name, path in leaves.items()])
+    return requests.withColumn("slot", F.explode(zipped))
 
 
 def _flag(value: Column) -> Column:
@@ -32,8 +39,8 @@ def _common_columns() -> dict[str, Column]:
     return {
         "request_id": F.col("id"),
         "imp_id": F.col("slot.id"),
-        "imp_banner_w": F.col("slot.banner.w"),
-        "imp_banner_h": F.col("slot.banner.h"),
+        "imp_banner_w": F.col("slot.w"),
+        "imp_banner_h": F.col("slot.h"),
         "imp_bidfloor": F.col("slot.bidfloor"),
         "publisher_id": publisher_id(),
         "device_type": F.col("device.devicetype"),
@@ -81,7 +88,7 @@ def enriched_requests(requests: DataFrame) -> DataFrame:
         "is_test_traffic": F.coalesce(publisher_id() < 0, F.lit(False)),
         "is_private_ip": F.coalesce(is_private_ip(device_ip()), F.lit(False)),
     }
-    rows = _slots(requests).select(*[c.alias(name) for name, c in columns.items()])
+    rows = _slots(requests, "bidfloorcur").select(*[c.alias(name) for name, c in columns.items()])
     return conform(rows, "bid_requests_enriched")
 
 

@@ -23,13 +23,13 @@ def request_stage(requests: DataFrame) -> DataFrame:
     A request is invalid if it has a slot and fails any quality rule, once
     however many slots fail.
     """
-    low_floor = F.exists("imp", lambda slot: slot["bidfloor"] <= 0)
+    low_floor = F.exists("imp.bidfloor", lambda floor: floor <= 0)
     broken = (
         F.coalesce(publisher_id() < 0, F.lit(False))
         | F.coalesce(is_private_ip(device_ip()), F.lit(False))
         | F.coalesce(low_floor, F.lit(False))
     )
-    has_slot = F.coalesce(F.size("imp") > 0, F.lit(False))
+    has_slot = F.coalesce(F.size("imp.bidfloor") > 0, F.lit(False))
     return requests.select(
         F.col("id").alias("request_id"),
         _event_ts(),

@@ -28,6 +28,25 @@ from funnelwright.sources.tables import (
 
 Tables = Mapping[str, DataFrame]
 WATERMARKS = "materialization_watermarks"
+MARKS = "materialization_marks"
+# Column of facts that tells which batch landed them, as the ingest writes it.
+BATCH = "batch_id"
+
+# The fact whose rows drive each view: one output row or more for each, in its hour.
+DRIVERS = {
+    "v_event_enriched_bid_requests": "bid_requests",
+    "v_event_enriched_bid_responses": "bid_responses",
+    "v_event_enriched_impressions": "impressions",
+    "v_event_enriched_clicks": "clicks",
+    "v_event_enriched_full_funnel": "bid_requests",
+    "v_agg_metrics_by_bidder": "impressions",
+    "v_agg_bid_landscape": "bid_responses",
+    "v_agg_serving_metrics": "impressions",
+    "v_agg_funnel_by_publisher": "bid_requests",
+    "v_agg_funnel_leakage": "bid_requests",
+    "v_agg_impressions_by_geo": "impressions",
+}
+FACTS = ("bid_requests", "bid_responses", "impressions", "clicks")
 
 
 @dataclass(frozen=True)
@@ -109,12 +128,79 @@ def _dated(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn("event_date", F.to_date(ts))
 
 
+def read_marks(spark: SparkSession, root: str, table: str) -> dict[str, int]:
+    """The last batch of each fact that the table has seen."""
+    if not table_exists(spark, root, MARKS):
+        return {}
+    rows = spark.read.parquet(f"{root}/{MARKS}").filter(F.col("table_name") == table).collect()
+    return {r.fact: r.batch for r in rows}
+
+
+def last_batches(tables: Tables) -> dict[str, int]:
+    """The last batch that each fact holds, where the landing keeps track of them.
+
+    Read before a run looks at the facts, so that a batch landing meanwhile is
+    taken again by the next run rather than missed.
+    """
+    tracked = [name for name in FACTS if name in tables and BATCH in tables[name].columns]
+    found = {name: tables[name].agg(F.max(F.col(BATCH).cast("bigint"))).first()[0] for name in tracked}
+    return {name: -1 if at is None else at for name, at in found.items()}
+
+
+def write_marks(spark: SparkSession, root: str, table: str, marks: Mapping[str, int]) -> None:
+    if marks:
+        rows = spark.createDataFrame([(table, f, b) for f, b in marks.items()], "table_name string, fact string, batch bigint")
+        replace_partitions(rows, f"{root}/{MARKS}", ["table_name"])
+
+
+def arrivals(tables: Tables, marks: Mapping[str, int]) -> dict[str, DataFrame]:
+    """Rows that landed in batches after the marks, of facts that tell their batch."""
+    return {
+        name: tables[name].filter(F.col(BATCH) > marks.get(name, -1))
+        for name in FACTS
+        if name in tables and BATCH in tables[name].columns
+    }
+
+
+def _shown(dim: DataFrame) -> DataFrame:
+    """What views can show of a dimension: its current versions."""
+    return dim.filter("is_current").drop("valid_from", "valid_to", "is_current")
+
+
+def _snapshot(root: str, spec: Spec, dim: str) -> str:
+    return f"{root}/_dims/{spec.table}/{dim}"
+
+
+def write_snapshots(spec: Spec, tables: Tables, root: str) -> None:
+    for dim, _ in spec.dims:
+        create_table(_shown(tables[dim]), _snapshot(root, spec, dim))
+
+
+def changed_dimensions(spark: SparkSession, spec: Spec, tables: Tables, root: str) -> dict[str, DataFrame]:
+    """Current versions that differ from those the last run showed.
+
+    Compared by content, so a version counts whenever it was loaded and whenever
+    it became valid, and so does one that was retired.
+    """
+    out = {}
+    for dim, _ in spec.dims:
+        now, path = _shown(tables[dim]), _snapshot(root, spec, dim)
+        if path_exists(spark, f"{path}/_SUCCESS"):
+            before = spark.read.schema(now.schema).parquet(path)
+            now = now.exceptAll(before).unionByName(before.exceptAll(now))
+        out[dim] = now
+    return out
+
+
 def full_load(spark: SparkSession, spec: Spec, tables: Tables, root: str) -> None:
     """Build the table from its view."""
     path = f"{root}/{spec.table}"
+    marks = last_batches(tables)
     create_table(_dated(VIEWS[spec.view](tables), spec.ts), path, ["event_date"])
     end = spark.read.parquet(path).agg(F.max(spec.ts)).first()[0]
     if end is not None:
+        write_snapshots(spec, tables, root)
+        write_marks(spark, root, spec.table, marks)
         write_watermark(spark, root, spec.table, end)
 
 
@@ -137,19 +223,6 @@ def late_request_ids(tables: Tables, arrived: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, keys).distinct()
 
 
-def stale_request_ids(tables: Tables, stored: DataFrame) -> DataFrame:
-    """Requests stored without a stage that has an event by now."""
-    unanswered = stored.filter("NOT has_response").join(tables["bid_responses"], "request_id", "left_semi")
-    unshown = stored.filter("has_response AND NOT has_impression").join(
-        tables["impressions"], "response_id", "left_semi"
-    )
-    unclicked = stored.filter("has_impression AND NOT has_click").join(
-        tables["clicks"], "impression_id", "left_semi"
-    )
-    keys = [df.select("request_id") for df in (unanswered, unshown, unclicked)]
-    return reduce(DataFrame.unionByName, keys).distinct()
-
-
 def touched_hours(spec: Spec, tables: Tables, arrived: Tables) -> DataFrame:
     """Hours of an aggregate that newly arrived events change, also through links."""
     driver, links = {
@@ -181,10 +254,38 @@ def _marked(rows: DataFrame, keys: DataFrame, on: list[tuple[str, str]], mark: s
     return rows.join(sized_broadcast(side), condition, "left").drop(*[f"_{mark}_{key}" for _, key in on])
 
 
-def changed_versions(dim: DataFrame, watermark) -> DataFrame:
-    """Versions that came after the last run: by load time if kept, else by start of validity."""
-    marker = "loaded_at" if "loaded_at" in dim.columns else "valid_from"
-    return dim.filter(F.col(marker) > F.lit(watermark))
+def _since(df: DataFrame, test: Column, at, ts: str) -> DataFrame:
+    """Rows whose time passes the test against ``at``; also filters the day column so that partitions are pruned."""
+    out = df.filter(test)
+    return out.filter(F.col("event_date") >= F.to_date(at)) if "event_date" in df.columns else out
+
+
+def driven_rows(facts: DataFrame, mark_keys: list, spec: Spec, recent, at) -> DataFrame | None:
+    """Rows of the driving fact that the view's hit rows come from; None if keys lie on other facts.
+
+    New rows are found by day; rows for a key by one semi join. An aggregate's
+    hour or key takes all its rows, so groups stay whole.
+    """
+    ts = F.col("event_timestamp")
+    time = F.date_trunc("hour", ts) if spec.hourly else ts
+    facts = facts.withColumn("_time", time)
+    new = F.coalesce(recent(F.col("_time")), F.lit(True))
+    parts = [_since(facts, recent(F.col("_time")), at, "_time"), facts.filter(F.col("_time").isNull())]
+    others = facts.filter(~new)
+    found = None
+    for i, (keys, on) in enumerate(mark_keys):
+        columns = [(F.date_trunc("hour", ts) if row == spec.ts and key == "hour" else F.col(row), row, key) for row, key in on]
+        if any(row not in facts.columns and key != "hour" for _, row, key in columns):
+            return None
+        side = keys.select(*[F.col(key).alias(f"_k{i}_{key}") for _, _, key in columns])
+        test = reduce(Column.__and__, [column == F.col(f"_k{i}_{key}") for column, _, key in columns])
+        side = sized_broadcast(side.distinct().withColumn(f"_in{i}", F.lit(True)))
+        others = others.join(side, test, "left").drop(*[f"_k{i}_{key}" for _, _, key in columns])
+        found = F.col(f"_in{i}").isNotNull() if found is None else found | F.col(f"_in{i}").isNotNull()
+    if found is not None:
+        parts.append(others.filter(found))
+    names = [c for c in facts.columns if c != "_time"]
+    return reduce(DataFrame.unionByName, [p.select(*names) for p in parts])
 
 
 def materialise(
@@ -198,11 +299,11 @@ def materialise(
 ) -> None:
     """Bring one table up to date.
 
-    ``lookback_hours`` replaces that window before the watermark. ``arrived``
-    holds the fact rows that landed since the last run, where the landing
-    keeps track of them; then late events are repaired wherever they belong.
-    ``dim_changes`` holds changed dimension versions; by default they are
-    found by time.
+    By default late events are found by the batches that facts tell
+    (``batch_id``), and changed dimension versions by comparing them with what
+    the last run showed. ``arrived`` and ``dim_changes`` pass either in. Facts
+    that do not tell their batch are repaired only in the ``lookback_hours``
+    before the watermark.
     """
     path, stage = f"{root}/{spec.table}", f"{root}/_staging/{spec.table}"
     watermark = read_watermark(spark, root, spec.table)
@@ -213,35 +314,61 @@ def materialise(
         replace_partitions(spark.read.parquet(stage), path, ["event_date"])
 
     stored = spark.read.parquet(path)
+    marks = last_batches(tables)
+    if arrived is None:
+        arrived = arrivals(tables, read_marks(spark, root, spec.table))
+    arrived = {name: rows for name, rows in arrived.items() if not rows.isEmpty()}
+    if dim_changes is None:
+        dim_changes = changed_dimensions(spark, spec, tables, root)
     mark_keys: list[tuple[DataFrame, list[tuple[str, str]]]] = []
     for dim, on in spec.dims:
-        changes = (dim_changes or {}).get(dim) if dim_changes is not None else changed_versions(tables[dim], watermark)
+        changes = dim_changes.get(dim)
         if changes is not None and not changes.isEmpty():
             mark_keys.append((changes, list(on)))
-    if spec.table == "mat_full_funnel":
-        mark_keys.append((stale_request_ids(tables, stored), [("request_id", "request_id")]))
-        if arrived:
-            mark_keys.append((late_request_ids(tables, arrived), [("request_id", "request_id")]))
-    elif spec.hourly and arrived:
+    if arrived and spec.table == "mat_full_funnel":
+        mark_keys.append((late_request_ids(tables, arrived), [("request_id", "request_id")]))
+    elif arrived and spec.hourly:
         mark_keys.append((touched_hours(spec, tables, arrived), [(spec.ts, "hour")]))
+    elif DRIVERS[spec.view] in arrived:
+        late = arrived[DRIVERS[spec.view]]
+        key = {"clicks": "click_id", "impressions": "impression_id", "bid_responses": "response_id"}.get(
+            DRIVERS[spec.view], "request_id"
+        )
+        mark_keys.append((late.select(key), [(key, key)]))
 
     # The hour that was open at the last run has grown since, so aggregates redo it.
-    ts, at = F.col(spec.ts), F.lit(watermark)
-    by_time = ts >= at if spec.hourly else ts > at
+    at = F.lit(watermark)
     if lookback_hours:
-        by_time = ts >= at - F.make_dt_interval(hours=F.lit(lookback_hours))
+        at = at - F.make_dt_interval(hours=F.lit(lookback_hours))
+    inclusive = spec.hourly or bool(lookback_hours)
+
+    def recent(ts: Column) -> Column:
+        return ts >= at if inclusive else ts > at
+
+    keys_root = f"{root}/_staging/{spec.table}_keys"
+    for i, (keys, on) in enumerate(mark_keys):
+        # Each key set is computed once, for both splits.
+        create_table(keys.select(*[key for _, key in on]).distinct(), f"{keys_root}/{i}")
+        mark_keys[i] = (spark.read.parquet(f"{keys_root}/{i}"), on)
 
     def split(rows: DataFrame) -> DataFrame:
-        hit = by_time
+        hit = recent(F.col(spec.ts))
         for i, (keys, on) in enumerate(mark_keys):
             rows = _marked(rows, keys, on, f"_mark{i}")
             hit = hit | F.coalesce(F.col(f"_mark{i}"), F.lit(False))
         rows = rows.withColumn("_hit", F.coalesce(hit, F.lit(True)))
         return rows.drop(*[f"_mark{i}" for i in range(len(mark_keys))])
 
+    # The view runs over those rows of its driving fact that can be hit, and no others.
+    sources = dict(tables)
+    driver = DRIVERS[spec.view]
+    narrowed = driven_rows(tables[driver], mark_keys, spec, recent, at)
+    if narrowed is not None:
+        sources[driver] = narrowed
+
     # Fresh rows are written once; finding their days must not compute the view again.
     fresh_path = f"{root}/_staging/{spec.table}_fresh"
-    create_table(_dated(split(VIEWS[spec.view](tables)).filter("_hit").drop("_hit"), spec.ts), fresh_path)
+    create_table(_dated(split(VIEWS[spec.view](sources)).filter("_hit").drop("_hit"), spec.ts), fresh_path)
     fresh, old = spark.read.parquet(fresh_path), split(stored)
     # One row per day: a bounded list.
     days = [
@@ -258,5 +385,7 @@ def materialise(
         end = fresh.agg(F.max(spec.ts)).first()[0]
         if end is not None:
             write_watermark(spark, root, spec.table, max(end, watermark))
-    delete_path(spark, stage)
-    delete_path(spark, fresh_path)
+    write_snapshots(spec, tables, root)
+    write_marks(spark, root, spec.table, marks)
+    for folder in (stage, fresh_path, keys_root):
+        delete_path(spark, folder)

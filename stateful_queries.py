@@ -135,35 +135,25 @@ def _materialised(table: str, late: str | None, dims_change: bool, **options) ->
         root = _folder(spark, "mat")
         spec = SPECS[table]
         after = F.col("event_timestamp") > F.lit(SPLIT).cast("timestamp")
-        first, arrived, everything = {}, {}, {}
+        first, everything = {}, {}
         for name, build in derived.FACTS.items():
             rows = build(spark, sf_dir)
             is_late = F.expr(late.format(id=rows.columns[0])) if late else F.lit(False)
-            rows = rows.withColumn("load", F.when(after | is_late, 2).otherwise(1))
-            rows.write.partitionBy("load").parquet(f"{root}/facts/{name}")
+            rows = rows.withColumn("batch_id", F.when(after | is_late, 2).otherwise(1))
+            rows.write.partitionBy("batch_id").parquet(f"{root}/facts/{name}")
             stored = spark.read.parquet(f"{root}/facts/{name}")
-            first[name] = stored.filter("load = 1").drop("load")
-            arrived[name] = stored.filter("load = 2").drop("load")
-            everything[name] = stored.drop("load")
+            first[name] = stored.filter("batch_id = 1")
+            everything[name] = stored
         dims = {name: derived.dimension(spark, sf_dir, name) for name in DIMENSION_KEYS}
-        before, changes = dict(dims), {}
+        before = dict(dims)
         if dims_change:
             publishers = dims["dim_publisher"]
             # Every first version is current at first; second versions come with the change.
             before["dim_publisher"] = publishers.filter("valid_from < '2024-01-02'").withColumns(
                 {"valid_to": F.lit(None).cast("timestamp"), "is_current": F.lit(True)}
             )
-            changes["dim_publisher"] = publishers.filter("valid_from >= '2024-01-02' OR NOT is_current")
         materialise(spark, spec, first | before, root)
-        materialise(
-            spark,
-            spec,
-            everything | dims,
-            root,
-            arrived=arrived if late else None,
-            dim_changes=changes,
-            **options,
-        )
+        materialise(spark, spec, everything | dims, root, **options)
         return spark.read.parquet(f"{root}/{table}").drop("event_date")
 
     return run
