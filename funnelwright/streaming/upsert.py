@@ -16,10 +16,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from funnelwright.functions import event_time
 from funnelwright.operators import funnel, landscape, quality, serving, stages
-from funnelwright.sources.tables import replace_partitions
+from funnelwright.sources.tables import path_exists, replace_partitions
 
 # A row can change windows this many seconds before or after its own time: a
 # click reaches back to its request, a request forward to its impressions.
@@ -70,14 +71,19 @@ def envelope(events: Mapping[str, DataFrame]) -> DataFrame:
     ).filter(F.col("event_ts").isNotNull())
 
 
-def _landed(spark: SparkSession, root: str, hours: list[str]) -> Frames:
+def _landed(spark: SparkSession, root: str, hours: list[str], schema: StructType) -> Frames:
     """Landed rows of these hours and their neighbours; other partitions are not read."""
     near = {
         (datetime.strptime(h, "%Y-%m-%d-%H") + timedelta(hours=step)).strftime("%Y-%m-%d-%H")
         for h in hours
         for step in (-1, 0, 1)
     }
-    rows = spark.read.parquet(f"{root}/landed").filter(F.col("event_hour").isin(sorted(near)))
+    base = f"{root}/landed"
+    names = ("requests", "responses", "impressions", "clicks")
+    paths = [f"{base}/stage={s}/event_hour={h}" for s in names for h in sorted(near)]
+    # Only these folders are listed, not all that ever landed.
+    paths = [path for path in paths if path_exists(spark, path)]
+    rows = spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
     def stage(name: str, *columns: str) -> DataFrame:
         return rows.filter(F.col("stage") == name).select(*columns)
@@ -99,17 +105,17 @@ def upsert_batch(batch: DataFrame, batch_id: int, root: str, tables: list[str])
     spark = batch.sparkSession
     hour = F.date_format("event_ts", _HOUR)
     landed = batch.withColumn("event_hour", hour).withColumn("batch_id", F.lit(batch_id))
+    batch.persist()
     replace_partitions(landed, f"{root}/landed", ["stage", "event_hour", "batch_id"])
-
-    arrived = spark.read.parquet(f"{root}/landed").filter(F.col("batch_id") == batch_id)
     reach = F.array(
         *[F.date_format(F.timestamp_micros(F.unix_micros("event_ts") + s * 1_000_000), _HOUR) for s in (-BACK, 0, AHEAD)]
     )
     # A list of hours: a few for live data, a few thousand for a backfill of months.
-    hours = sorted(r[0] for r in arrived.select(F.explode(reach)).distinct().collect())
+    hours = sorted(r[0] for r in batch.select(F.explode(reach)).distinct().collect())
+    batch.unpersist()
     if not hours:
         return
-    frames = _landed(spark, root, hours)
+    frames = _landed(spark, root, hours, landed.schema)
     for table in [t for t in AGGREGATES if t in tables]:
         if table == "funnel_leakage_hourly" and "hourly_funnel_by_publisher" in tables:
             # The funnel was written just before; leakage is arithmetic on it.

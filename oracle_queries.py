@@ -762,6 +762,20 @@ def oracles() -> dict[str, str]:
     # Streams and incremental tables must equal the batch result over all data.
     out |= {
         "stream_ingest": out["ingest_dq_rejected_events"],
+        **{
+            f"stream_ingest_{t}": out[f"ingest_{t}"]
+            for t in ("bid_requests", "bid_requests_enriched", "bid_responses", "impressions", "clicks")
+        },
+        "stream_geo": out["geo_hourly"],
+        "stream_quality": out["dq_hourly"],
+        "stream_leakage": out["leakage_hourly"],
+        "mat_bid_responses": out["v_event_enriched_bid_responses"],
+        "mat_clicks": out["v_event_enriched_clicks"],
+        "mat_agg_metrics_by_bidder": out["v_agg_metrics_by_bidder"],
+        "mat_agg_funnel_by_publisher": out["v_agg_funnel_by_publisher"],
+        "mat_agg_funnel_leakage": out["v_agg_funnel_leakage"],
+        "mat_agg_impressions_by_geo": out["v_agg_impressions_by_geo"],
+        "scd2_load": out["scd2_current"],
         "stream_rolling": out["rolling_bidder"],
         "stream_funnel": out["funnel_hourly"],
         "stream_serving": out["serving_1m"],

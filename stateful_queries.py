@@ -5,17 +5,21 @@ Each works in a new folder under the cluster's shared folder.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelwright.model import DIMENSION_KEYS
+from funnelwright.model import DIMENSION_KEYS, table_schema
+from funnelwright.operators.ingest import FACT_BUILDERS
+from funnelwright.operators.dims import current_version, load_dimension
 from funnelwright.plans.materialise import SPECS, materialise
 from funnelwright.session import work_dir
 from funnelwright.sources import derived
 from funnelwright.sources.events import event_files
+from funnelwright.sources.tables import read_table
 from funnelwright.streaming.ingest import start_ingest
 from funnelwright.streaming.native import funnel_chain_stream, interval_join_stream, rolling_bidder_stream
 from funnelwright.streaming.upsert import start_upserts
@@ -38,15 +42,22 @@ def _events(spark: SparkSession, sf_dir: str, root: str, names: list[str], parts
         derived.EVENTS[name](spark, sf_dir).repartition(parts).write.parquet(f"{root}/in/{name}")
 
 
-def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The requests stream into its three tables, in several micro-batches."""
-    root = _folder(spark, "ingest")
-    _events(spark, sf_dir, root, ["bid_requests"], 3)
-    source = event_files(spark, "bid_requests", f"{root}/in/bid_requests", files_per_trigger=1)
-    for query in start_ingest({"bid_requests": source}, root, f"{root}/checkpoints", AVAILABLE_NOW):
-        query.awaitTermination()
-    rows = spark.read.parquet(f"{root}/dq_rejected_events")
-    return rows.drop("event_date", "batch_id")
+def _ingested(table: str) -> Query:
+    """One of the tables that a stream is ingested into, in several micro-batches."""
+    stream = FACT_BUILDERS[table][0]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = _folder(spark, "ingest")
+        _events(spark, sf_dir, root, [stream], 3)
+        source = event_files(spark, stream, f"{root}/in/{stream}", files_per_trigger=1)
+        for query in start_ingest({stream: source}, root, f"{root}/checkpoints", AVAILABLE_NOW):
+            query.awaitTermination()
+        rows = spark.read.parquet(f"{root}/{table}").drop("event_date", "batch_id")
+        if "site_cat" in rows.columns:
+            rows = rows.withColumn("site_cat", F.array_join("site_cat", ","))
+        return rows.select(*table_schema(table).fieldNames())
+
+    return run
 
 
 def _upserted(table: str) -> Query:
@@ -68,7 +79,7 @@ def _stage_streams(spark: SparkSession, sf_dir: str, root: str, names: list[str]
     for name in names:
         rows = derived.STAGES[name](spark, sf_dir)
         path = f"{root}/in/{name}"
-        rows.write.parquet(path)
+        _slices(rows, path)
         columns = [
             F.timestamp_micros(F.lit(SENTINEL_US)).alias(f.name)
             if f.name == "event_ts"
@@ -77,11 +88,21 @@ def _stage_streams(spark: SparkSession, sf_dir: str, root: str, names: list[str]
             .alias(f.name)
             for f in rows.schema
         ]
-        spark.range(1).select(*columns).write.mode("append").parquet(path)
-        out[name] = spark.readStream.schema(rows.schema).parquet(path)
+        time.sleep(0.01)  # files are taken in the order of their times
+        spark.range(1).select(*columns).coalesce(1).write.mode("append").parquet(path)
+        out[name] = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
     return out
 
 
+def _slices(rows: DataFrame, path: str) -> None:
+    """Files in the order of event time, one a micro-batch, so that state is carried from each to the next."""
+    cuts = [F.lit(c).cast("timestamp") for c in ("2024-01-01 18:00:00", "2024-01-02 12:00:00")]
+    part = F.when(F.col("event_ts") >= cuts[1], 2).when(F.col("event_ts") >= cuts[0], 1).otherwise(0)
+    for k in range(3):
+        rows.filter(part == k).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.01)
+
+
 def _drain(stream: DataFrame, root: str) -> DataFrame:
     query = (
         stream.writeStream.format("parquet")
@@ -159,15 +180,31 @@ def _materialised(table: str, late: str | None, dims_change: bool, **options) ->
     return run
 
 
+def _loaded_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First versions, then all, then both again: the stored table is that of all."""
+    rows = derived.dimension(spark, sf_dir, "dim_publisher")
+    first = rows.filter("valid_from < '2024-01-02'").withColumns(
+        {"valid_to": F.lit(None).cast("timestamp"), "is_current": F.lit(True)}
+    )
+    root = _folder(spark, "dims")
+    for load in (first, rows, first.filter("publisher_id % 2 = 0"), rows):
+        load_dimension(spark, load, "dim_publisher", root)
+    return current_version(read_table(spark, root, "dim_publisher"))
+
+
 def stateful_queries() -> Mapping[str, Query]:
     return {
-        "stream_ingest": stream_ingest,
+        "stream_ingest": _ingested("dq_rejected_events"),
+        **{f"stream_ingest_{table}": _ingested(table) for table in FACT_BUILDERS if table != "dq_rejected_events"},
         "stream_rolling": stream_rolling,
         "stream_click_join": stream_click_join,
         "stream_funnel_chain": stream_funnel_chain,
         "stream_funnel": _upserted("hourly_funnel_by_publisher"),
         "stream_serving": _upserted("realtime_serving_metrics_1m"),
         "stream_landscape": _upserted("bid_landscape_hourly"),
+        "stream_geo": _upserted("hourly_impressions_by_geo"),
+        "stream_quality": _upserted("dq_event_quality_hourly"),
+        "stream_leakage": _upserted("funnel_leakage_hourly"),
         "mat_append": _materialised("mat_bid_requests", None, False),
         "mat_late_repair": _materialised(
             "mat_agg_serving_metrics", "pmod(hash({id}), 7) = 0", False
@@ -176,5 +213,17 @@ def stateful_queries() -> Mapping[str, Query]:
             "mat_impressions", "pmod(hash({id}), 7) = 0", False, lookback_hours=72
         ),
         "mat_dim_repair": _materialised("mat_agg_bid_landscape", None, True),
+        **{
+            table: _materialised(table, "pmod(hash({id}), 7) = 0", True)
+            for table in (
+                "mat_bid_responses",
+                "mat_clicks",
+                "mat_agg_metrics_by_bidder",
+                "mat_agg_funnel_by_publisher",
+                "mat_agg_funnel_leakage",
+                "mat_agg_impressions_by_geo",
+            )
+        },
+        "scd2_load": _loaded_dimension,
         "mat_funnel_repair": _materialised("mat_full_funnel", "pmod(hash({id}), 7) = 0", True),
     }
