@@ -94,27 +94,77 @@ def create_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     writer.parquet(path)
 
 
-def compact(spark: SparkSession, path: str, partition: dict[str, str]) -> int:
-    """Rewrite one partition into files of about 128 MB; returns the file count.
+BATCH = "batch_id"
 
-    Rows go to files round robin, so a hot key does not make one large file.
-    Only dynamic overwrite lets a job replace a partition that it reads.
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a stored table in the order of its folders."""
+    files = spark.read.parquet(path).inputFiles()
+    inside = files[0].split(path.rstrip("/").rsplit("/", 1)[-1] + "/", 1)[1] if files else ""
+    return [part.split("=", 1)[0] for part in inside.split("/")[:-1] if "=" in part]
+
+
+def compacted_through(spark: SparkSession, root: str, table: str) -> int:
+    """The last batch that compaction has merged; -1 if none. A retry of such a batch must not land again."""
+    path = f"{root}/_compacted/{table}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        return -1
+    return spark.read.parquet(path).agg(F.max("through")).first()[0]
+
+
+def compact(spark: SparkSession, path: str, partition: dict[str, str], before_batch: int | None = None) -> int:
+    """Rewrite one partition into fewer files of about 128 MB; returns how many files were planned.
+
+    All partition columns stay. In a table that tells batches, those before
+    ``before_batch`` merge into the last of them, which is noted first, so that
+    the ingest skips a retry of any. Rows are staged in full, then published,
+    then the merged batches are removed; a run that stopped on the way is
+    finished by the next. Rows go to files round robin, so a hot key does not
+    make one large file.
     """
+    root, table = path.rstrip("/").rsplit("/", 1)
+    stage = f"{root}/_compacting/{table}"
+    if path_exists(spark, f"{stage}/_SUCCESS"):
+        _publish_compacted(spark, stage, path)
+    names = partition_columns(spark, path)
     folder = path + "".join(f"/{name}={value}" for name, value in partition.items())
     files = max(1, -(-path_bytes(spark, folder) // TARGET_FILE_BYTES))
     rows = spark.read.parquet(path)
     for name, value in partition.items():
         rows = rows.filter(F.col(name) == F.lit(value))
-    (
-        rows.repartition(files)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition)
-        .parquet(path)
-    )
+    if BATCH in names:
+        if before_batch is None:
+            raise ValueError("name the first batch that may still be retried")
+        rows = rows.filter(F.col(BATCH) < before_batch)
+        last = rows.agg(F.max(BATCH)).first()[0]
+        if last is None:
+            return 0
+        rows = rows.withColumn(BATCH, F.lit(last))
+        through = max(before_batch - 1, compacted_through(spark, root, table))
+        create_table(spark.createDataFrame([(through,)], "through int"), f"{root}/_compacted/{table}")
+    rows = rows.repartition(files) if names == list(partition) else balanced(rows, names)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*names).parquet(stage)
+    _publish_compacted(spark, stage, path)
     return files
 
 
+def _publish_compacted(spark: SparkSession, stage: str, path: str) -> None:
+    names = partition_columns(spark, stage)
+    staged = spark.read.parquet(stage)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*names).parquet(path)
+    if BATCH in names:
+        upper = names[: names.index(BATCH)]
+        # One row per folder of one partition: a bounded list.
+        for row in staged.groupBy(*upper).agg(F.max(BATCH).alias(BATCH)).collect():
+            folder = path + "".join(f"/{n}={row[n]}" for n in upper)
+            files, target = _hadoop_path(spark, folder)
+            for status in files.listStatus(target):
+                name = status.getPath().getName()
+                if name.startswith(f"{BATCH}=") and int(name.split("=")[1]) < row[BATCH]:
+                    files.delete(status.getPath(), True)
+    delete_path(spark, stage)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote."""
     files, target = _hadoop_path(spark, path)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from funnelwright.model import FACT_PARTITIONS, conform
 from funnelwright.operators.ingest import FACT_BUILDERS
-from funnelwright.sources.tables import replace_partitions, with_event_date
+from funnelwright.sources.tables import compacted_through, replace_partitions, with_event_date
 
 
 def write_batch(batch: DataFrame, batch_id: int, stream: str, root: str) -> None:
@@ -24,6 +24,8 @@ def write_batch(batch: DataFrame, batch_id: int, stream: str, root: str) -> None
         batch.persist()
     try:
         for table, build in tables.items():
+            if batch_id <= compacted_through(batch.sparkSession, root, table):
+                continue  # a retry of a batch whose rows have been merged already
             second = FACT_PARTITIONS[table]
             rows = with_event_date(conform(build(batch), table)).withColumn("batch_id", F.lit(batch_id))
             replace_partitions(

@@ -76,6 +76,25 @@ def test_ingest_batch_is_repeatable(spark, tmp_path):
     assert stored.count() == derived.request_facts(spark, SF).count()
 
 
+def test_compaction_of_ingested_batches(spark, tmp_path, rows_of):
+    root = str(tmp_path)
+    events = derived.bid_request_events(spark, SF)
+    parts = [events.filter(F.expr(f"pmod(hash(id), 3) = {k}")) for k in range(3)]
+    for k in (0, 1):
+        write_batch(parts[k], k, "bid_requests", root)
+    path = f"{root}/bid_requests"
+    before = rows_of(spark.read.parquet(path).drop("batch_id"))
+    for day in [r[0] for r in spark.read.parquet(path).select(F.col("event_date").cast("string")).distinct().collect()]:
+        compact(spark, path, {"event_date": day}, before_batch=2)
+    stored = spark.read.parquet(path)
+    assert rows_of(stored.drop("batch_id")) == before
+    write_batch(parts[2], 2, "bid_requests", root)
+    write_batch(parts[1], 1, "bid_requests", root)  # a late retry
+    stored = read_table(spark, root, "bid_requests")
+    want = derived.request_facts(spark, SF)
+    assert rows_of(stored.select(*want.columns)) == rows_of(want)
+
+
 def test_late_click_updates_the_hour_of_its_request(spark, tmp_path, rows_of):
     root = str(tmp_path)
     events = {}
