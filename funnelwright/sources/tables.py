@@ -157,14 +157,18 @@ def _publish_compacted(spark: SparkSession, stage: str, path: str) -> None:
         # One row per folder of one partition: a bounded list.
         for row in staged.groupBy(*upper).agg(F.max(BATCH).alias(BATCH)).collect():
             folder = path + "".join(f"/{n}={row[n]}" for n in upper)
-            files, target = _hadoop_path(spark, folder)
-            for status in files.listStatus(target):
-                name = status.getPath().getName()
+            for name in subfolders(spark, folder):
                 if name.startswith(f"{BATCH}=") and int(name.split("=")[1]) < row[BATCH]:
-                    files.delete(status.getPath(), True)
+                    delete_path(spark, f"{folder}/{name}")
     delete_path(spark, stage)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    files, target = _hadoop_path(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote."""
     files, target = _hadoop_path(spark, path)

@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 
 from funnelwright.functions import event_time
 from funnelwright.operators import funnel, landscape, quality, serving, stages
-from funnelwright.sources.tables import path_exists, replace_partitions
+from funnelwright.sources.tables import delete_path, path_exists, replace_partitions, subfolders
 
 # A row can change windows this many seconds before or after its own time: a
 # click reaches back to its request, a request forward to its impressions.
@@ -128,6 +128,24 @@ def upsert_batch(batch: DataFrame, batch_id: int, root: str, tables: list[str])
         replace_partitions(fresh, f"{root}/{table}", ["window_hour"])
 
 
+def expire_landed(spark: SparkSession, root: str, before: datetime) -> int:
+    """Remove landed rows of hours before a time; returns how many folders went.
+
+    A job of its own, never part of a batch: events that arrive for a removed
+    hour afterwards would restate it from themselves alone, so ``before`` must lie
+    behind anything that may still arrive, by the reach of the joins.
+    """
+    base, limit, gone = f"{root}/landed", before.strftime("%Y-%m-%d-%H"), 0
+    if not path_exists(spark, base):
+        return 0
+    for stage in [s for s in subfolders(spark, base) if s.startswith("stage=")]:
+        for hour in subfolders(spark, f"{base}/{stage}"):
+            if hour.startswith("event_hour=") and hour.split("=", 1)[1] < limit:
+                delete_path(spark, f"{base}/{stage}/{hour}")
+                gone += 1
+    return gone
+
+
 def start_upserts(
     events: Mapping[str, DataFrame],
     root: str,

@@ -8,7 +8,7 @@ from funnelwright.plans.views import VIEWS
 from funnelwright.sources import derived
 from funnelwright.sources.tables import append_facts, compact, create_table, read_table, replace_partitions, time_range
 from funnelwright.streaming.ingest import write_batch
-from funnelwright.streaming.upsert import envelope, upsert_batch
+from funnelwright.streaming.upsert import envelope, expire_landed, upsert_batch
 
 SF = "/root/testdata/sf0.001"
 
@@ -112,6 +112,10 @@ def test_late_click_updates_the_hour_of_its_request(spark, tmp_path, rows_of):
     )
     got = spark.read.parquet(f"{root}/{table}").select(*want.columns)
     assert rows_of(got) == rows_of(want)
+    hours = [r[0] for r in spark.read.parquet(f"{root}/landed").select("event_hour").distinct().orderBy("event_hour").collect()]
+    assert expire_landed(spark, root, datetime.strptime(hours[2], "%Y-%m-%d-%H")) >= 2
+    left = spark.read.parquet(f"{root}/landed").select("event_hour").distinct().orderBy("event_hour").collect()
+    assert [r[0] for r in left] == hours[2:] and expire_landed(spark, f"{root}/none", datetime(2024, 1, 1)) == 0
     lost = funnel.leakage(want, "window_start")
     assert rows_of(spark.read.parquet(f"{root}/{losses}").select(*lost.columns)) == rows_of(lost)
 
