@@ -27,7 +27,7 @@ from funnelwright.llm.common import documents, stored, workers_import
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Rounds of the multiplicative weights.
 ROUNDS = 400
 #: Lengths served in a round, the part of a demand served at once, and how fast weights fall.

@@ -23,7 +23,7 @@ from funnelwright.llm.shingles import chunks
 
 MODEL = "piece_bpe_32k.model"
 #: Units whose ids a Python worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: An unknown character scores this much below the worst piece.
 UNKNOWN_PENALTY = 10.0
 SPACE = "▁"

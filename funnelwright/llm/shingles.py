@@ -6,13 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SIZE = 5
 #: Bytes of text that are hashed together; a longer text is hashed alone.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 _rng = np.random.default_rng(20240229)
 _TABLE = _rng.integers(0, 2**64, (64, 256), dtype=np.uint64)
+_FLAT = _TABLE.ravel()
 _STRETCH = np.uint64(0x9E3779B97F4A7C15)
 _PLACES = _rng.integers(0, 2**63, SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -30,9 +32,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``CHUNK_BYTES`` of text, at least one row each."""
-    sizes = np.array([len(t) for t in texts.cast(pa.binary()).fill_null(b"").to_pylist()], dtype=np.int64)
+    sizes = pc.binary_length(texts).fill_null(0).to_pylist()
     start, held = 0, 0
-    for i, size in enumerate(sizes.tolist()):
+    for i, size in enumerate(sizes):
         if held and held + size > CHUNK_BYTES:
             yield start, i
             start, held = i, 0
@@ -77,7 +79,7 @@ def runs(
     first_kept = np.flatnonzero(begins[kept])
     lengths = np.diff(np.append(first_kept, len(kept)))
     place = kept - np.repeat(starts, lengths)
-    values = _TABLE[place & 63, data[kept]]
+    values = _FLAT.take(((place & 63) << 8) | data[kept])
     if lengths.max() > 64:
         block = place >> 6
         far = block > 0
