@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelwright.session import work_dir
+from funnelwright.sources.tables import delete_path
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -22,12 +23,18 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+#: Bytes of a batch that a Python worker gets at once, so that long texts do not add up in memory.
+BATCH_BYTES = 4 * 1024 * 1024
+
+
 def workers_import(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package from where the driver has it, and bound their batches.
 
-    Enough wherever executors see the same path, as with a local master; elsewhere
-    the package is installed on the executors or shipped with ``--py-files``.
+    The path is enough wherever executors see the same one, as with a local
+    master; elsewhere the package is installed on the executors or shipped with
+    ``--py-files``.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     here = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
@@ -44,7 +51,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(step: DataFrame) -> None:
+    """Delete a stored step that nothing reads any more."""
+    delete_path(step.sparkSession, step.stored_path)
 
 
 def bound(value: Column, body) -> Column:

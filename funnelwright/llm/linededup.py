@@ -14,6 +14,7 @@ near copies costs little more than its size.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,252 +22,337 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelwright.llm.common import documents, stored, workers_import
+from funnelwright.llm.common import discard, documents, stored, workers_import
 from funnelwright.llm.shingles import _bytes, chunks, mix, words
 
 PERCENT = 80
 #: Lines with fewer distinct words are left alone.
 LEAST_WORDS = 5
 #: Token counts are kept for so many hash slots; a token is as rare as its slot.
-SLOTS = 1 << 17
-#: Classes of one token's list that are compared at once.
+SLOT_BITS = 20
+SLOTS = 1 << SLOT_BITS
+#: Bits of a word's hash that make its token.
+TOKEN_BITS = 44
+#: A token in a slot with more tokens than this may have a long list, which is split by
+#: spans of document ids. Lists of other tokens are shorter by proof.
+LONG_LIST = 2_000_000
+SPAN = 1 << 16
+#: Slots whose counts travel in one row.
+VECTOR = 1 << 14
+#: Lines to take out are broadcast up to so many documents and lines.
+BROADCAST_DOCS, BROADCAST_LINES = 300_000, 3_000_000
+#: Postings of one token's list that are compared at once.
 BLOCK = 1024
-#: Candidates of a class that are tried first.
-FIRST = 2
+#: Candidates before it that a posting is tried with first.
+FIRST = 1
 #: Digests of lines whose postings a task remembers, so that copies are posted once.
 REMEMBERED = 500_000
 
 _LATEST = 2**63 - 1
+_LOW_BITS = np.uint64(TOKEN_BITS - SLOT_BITS)
+_LOW = np.uint64((1 << (TOKEN_BITS - SLOT_BITS)) - 1)
+_TOKEN = np.uint64((1 << TOKEN_BITS) - 1)
+_AT = np.uint64(TOKEN_BITS)
 
 
-def _lines(texts: pa.Array):
-    """Distinct words of each line of each text: text and line number, bounds, hashes (sorted within a line)."""
+def _line_sets(texts: pa.Array, rank: np.ndarray | None = None):
+    """Distinct tokens of each line that has words: text, line number, bounds, tokens (sorted in a line).
+
+    ``rank`` renames the upper bits of tokens, one for one, to the rarity of
+    their slot, so that the order is by rarity.
+    """
     data, offsets = _bytes(texts)
     hashes, starts, _, bounds = words(texts)
+    if not len(hashes):
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(1, np.int64), np.zeros(0, np.uint64)
     breaks = np.flatnonzero(data == 10)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
-    line = np.searchsorted(breaks, starts) + doc
-    order = np.argsort((line.astype(np.uint64) << np.uint64(44)) | (hashes >> np.uint64(20)), kind="stable")
-    hashes, line, doc = hashes[order], line[order], doc[order]
-    new = np.ones(len(hashes), dtype=bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])
-    hashes, line, doc = hashes[new], line[new], doc[new]
-    first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.zeros(0, np.int64)
+    place = np.searchsorted(breaks, starts) + doc
+    new = np.concatenate([[True], place[1:] != place[:-1]])
+    first = np.flatnonzero(new)
+    line = np.cumsum(new) - 1
+    tokens = hashes >> np.uint64(64 - TOKEN_BITS)
+    if rank is not None:
+        tokens = (rank[(tokens >> _LOW_BITS).astype(np.int64)].astype(np.uint64) << _LOW_BITS) | (tokens & _LOW)
+    if len(first) < 1 << (64 - TOKEN_BITS):
+        key = np.sort((line.astype(np.uint64) << _AT) | tokens)
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+        line, tokens = (key >> _AT).astype(np.int64), key & _TOKEN
+    else:  # one text of a million lines and more
+        order = np.lexsort((tokens, line))
+        line, tokens = line[order], tokens[order]
+        kept = np.concatenate([[True], (line[1:] != line[:-1]) | (tokens[1:] != tokens[:-1])])
+        line, tokens = line[kept], tokens[kept]
     base = np.searchsorted(breaks, offsets[:-1]) + np.arange(len(offsets) - 1)
-    number = line[first] - base[doc[first]]
-    return doc[first], number, np.append(first, len(hashes)), hashes
+    cuts = np.searchsorted(line, np.arange(len(first) + 1))
+    return doc[first], place[first] - base[doc[first]], cuts, tokens
 
 
-def _digests(bounds: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _digest(bounds: np.ndarray, tokens: np.ndarray, salt: int = 0) -> np.ndarray:
     if len(bounds) < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    one = np.add.reduceat(mix(hashes), bounds[:-1])
-    two = np.add.reduceat(mix(hashes ^ np.uint64(0xD6E8FEB86659FD93)), bounds[:-1])
-    return one.view(np.int64), two.view(np.int64)
+        return np.zeros(0, np.int64)
+    return np.add.reduceat(mix(tokens ^ np.uint64(salt)), bounds[:-1]).view(np.int64)
 
 
-_LINE_FIELDS = "kind int, doc bigint, twin bigint, line int, s1 bigint, s2 bigint, m int"
+_LINE_FIELDS = "kind int, doc bigint, twin bigint, line int, s1 bigint, s2 bigint, m int, counts binary"
 
 
 def _line_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: a line with its set's digest and size. Kind 1: slot ``doc`` and its tokens ``twin``."""
+    """Kind 0: a line with its set's digest and size. Kind 1: a stretch of slots and their counts of tokens."""
     slots = np.zeros(SLOTS, dtype=np.int64)
-    names = ["kind", "doc", "twin", "line", "s1", "s2", "m"]
+    names = ["kind", "doc", "twin", "line", "s1", "s2", "m", "counts"]
     for batch in batches:
         ids, twins = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         for lo, hi in chunks(batch.column(2)):
-            doc, number, bounds, hashes = _lines(batch.column(2)[lo:hi])
-            slots += np.bincount((hashes >> np.uint64(47)).astype(np.int64), minlength=SLOTS)
+            doc, number, bounds, tokens = _line_sets(batch.column(2)[lo:hi])
+            slots += np.bincount((tokens >> _LOW_BITS).astype(np.int64), minlength=SLOTS)
             size = np.diff(bounds)
             kept = size >= LEAST_WORDS
-            s1, s2 = _digests(bounds, hashes)
             doc = doc[kept]
             columns = [
                 pa.array(np.zeros(len(doc), np.int32)),
                 pa.array(ids[lo:hi][doc]),
                 pa.array(twins[lo:hi][doc]),
                 pa.array(number[kept].astype(np.int32)),
-                pa.array(s1[kept]),
-                pa.array(s2[kept]),
+                pa.array(_digest(bounds, tokens)[kept]),
+                pa.array(_digest(bounds, tokens, 0xD6E8FEB86659FD93)[kept]),
                 pa.array(size[kept].astype(np.int32)),
+                pa.nulls(len(doc), pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
-    used = np.flatnonzero(slots)
-    blank = np.zeros(len(used), np.int64)
-    columns = [np.ones(len(used), np.int32), used, slots[used], blank.astype(np.int32), blank, blank, blank.astype(np.int32)]
-    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+    if slots.any():
+        n = SLOTS // VECTOR
+        blank = pa.array(np.zeros(n, np.int64))
+        small = pa.array(np.zeros(n, np.int32))
+        # a task's counts are small numbers, mostly zero bytes
+        vectors = pa.array([zlib.compress(slots[k * VECTOR : (k + 1) * VECTOR].tobytes(), 1) for k in range(n)], pa.binary())
+        columns = [pa.array(np.ones(n, np.int32)), pa.array(np.arange(n)), blank, small, blank, blank, small, vectors]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of the vectors of each stretch that came to this task."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for at, vector in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            total[at] = total.get(at, 0) + np.frombuffer(zlib.decompress(vector), dtype=np.int64)
+    if total:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int64()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
+            ["doc", "counts"],
+        )
 
 
 def prefix_length(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return size + (-size * percent) // 100 + 1  # size - ceil(share of size) + 1
 
 
-def _postings(rank: np.ndarray, percent: int):
-    """Prefix tokens of every line: token, class, size, place, parity of the set, and where it was seen."""
+_POSTING = "token bigint, span bigint, seen bigint, line int, s1 bigint, parity bigint, shape bigint"
+_NAMES = ["token", "span", "seen", "line", "s1", "parity", "shape"]
+#: Bits of a token by which postings meet; equal ones of different words are sorted out with the rest.
+_MEET = np.uint64(TOKEN_BITS - 32)
+
+
+def _postings(rank: np.ndarray, long_slots: np.ndarray, percent: int):
+    """Prefix tokens of every line: where it was seen, its set, the set's parity, and size and place.
+
+    ``span`` is 0, or tells the part of a list that may be long. A set that the
+    task has posted is posted again only from an earlier document, so its
+    earliest posting is its first line.
+    """
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        slot_of = np.empty(SLOTS, dtype=np.uint64)
+        slot_of[rank] = np.arange(SLOTS, dtype=np.uint64)
+        seen: dict[int, int] = {}
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for lo, hi in chunks(batch.column(2)):
-                doc, _, bounds, hashes = _lines(batch.column(2)[lo:hi])
-                if not len(hashes):
+                doc, number, bounds, tokens = _line_sets(batch.column(2)[lo:hi], rank)
+                if not len(tokens):
                     continue
-                s1, _ = _digests(bounds, hashes)
+                plain = (slot_of[(tokens >> _LOW_BITS).astype(np.int64)] << _LOW_BITS) | (tokens & _LOW)
+                s1 = _digest(bounds, plain)
                 size = np.diff(bounds)
+                wanted = size >= LEAST_WORDS
                 if len(seen) > REMEMBERED:
                     seen.clear()
-                wanted = size >= LEAST_WORDS
-                for i in np.flatnonzero(wanted).tolist():
-                    key = int(s1[i])
-                    if key in seen:
-                        wanted[i] = False
-                    else:
-                        seen.add(key)
-                parity = np.bitwise_xor.reduceat(np.uint64(1) << (mix(hashes) >> np.uint64(58)), bounds[:-1])
-                line = np.repeat(np.arange(len(size)), size)
-                kept = wanted[line]
-                line, token = line[kept], hashes[kept]
-                key = rank[(token >> np.uint64(47)).astype(np.int64)]
-                # by line, then rarity, then hash: hashes are in order already
-                order = np.lexsort((key, line))
-                line, token = line[order], token[order]
-                starts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else line
-                place = np.arange(len(line)) - np.repeat(starts, np.diff(np.append(starts, len(line))))
-                chosen = place < prefix_length(size[line], percent)
-                line, token, place = line[chosen], token[chosen], place[chosen]
+                where = ids[lo:hi][doc]
+                for i, (key, at) in enumerate(zip(s1.tolist(), where.tolist(), strict=True)):
+                    if wanted[i]:
+                        wanted[i] = at < seen.get(key, _LATEST + 1)
+                        if wanted[i]:
+                            seen[key] = at
+                parity = np.bitwise_xor.reduceat(np.uint64(1) << (mix(plain) >> np.uint64(58)), bounds[:-1])
+                place = np.arange(len(tokens)) - np.repeat(bounds[:-1], size)
+                chosen = np.repeat(wanted, size) & (place < np.repeat(prefix_length(size, percent), size))
+                line = np.repeat(np.arange(len(size)), size)[chosen]
+                seen_at = where[line]
+                long = long_slots[(plain[chosen] >> _LOW_BITS).astype(np.int64)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array((token >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                        pa.array((tokens[chosen] >> _MEET).view(np.int64)),
+                        pa.array(np.where(long, 1 + seen_at // SPAN, 0)),
+                        pa.array(seen_at),
+                        pa.array(number[line].astype(np.int32)),
                         pa.array(s1[line]),
-                        pa.array(size[line].astype(np.int32)),
-                        pa.array(place.astype(np.int32)),
                         pa.array(parity[line].view(np.int64)),
-                        pa.array(ids[lo:hi][doc[line]]),
+                        pa.array((size[line] << 32) | place[chosen]),
                     ],
-                    ["token", "s1", "m", "place", "parity", "seen"],
+                    _NAMES,
                 )
 
     return post
 
 
-_POSTING = "token int, s1 bigint, m int, place int, parity bigint, seen bigint"
-
-
 def candidates(left: dict, right: dict, percent: int) -> np.ndarray:
-    """For pairs of postings of one token whether the filters leave them a chance to match."""
-    a, b = left["m"][:, None].astype(np.int64), right["m"][None, :].astype(np.int64)
-    ok = left["s1"][:, None] != right["s1"][None, :]
-    ok &= (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
-    # matching sets share at least this many of their a + b tokens
+    """For pairs of postings of one token, row by row, whether they may be the first
+    that two matching sets share.
+
+    Sizes are near enough, as many tokens follow in both as a match needs, and the
+    parities (a bit for each token, flipped) differ in no more bits than a match's
+    sets differ in tokens. A matching pair passes all at its first common token.
+    """
+    a, b = left["shape"] >> 32, right["shape"] >> 32
+    ok = left["s1"] != right["s1"]
+    ok &= 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
     least = -(-percent * (a + b) // (100 + percent))
-    room = np.minimum(a - left["place"][:, None], b - right["place"][None, :])
-    earlier = np.minimum(left["place"][:, None], right["place"][None, :])
-    ok &= room + earlier >= least
-    parities = [np.ascontiguousarray(side["parity"]).view(np.uint64) for side in (left, right)]
-    apart = np.bitwise_count(parities[0][:, None] ^ parities[1][None, :])
-    ok &= apart <= a + b - 2 * least
-    return ok
+    ok &= np.minimum(a - (left["shape"] & 0xFFFFFFFF), b - (right["shape"] & 0xFFFFFFFF)) >= least
+    apart = np.bitwise_count((left["parity"] ^ right["parity"]).view(np.uint64))
+    return ok & (apart <= a + b - 2 * least)
+
+
+_FOUND = "kind int, y bigint, x bigint, token bigint, parity bigint, shape bigint"
 
 
-def _pairs(percent: int, first: int | None):
-    """Pairs of classes in each group of (token, i, j); side 0 is compared with side 1, side 2 with itself.
+def _found(kind: int, y: np.ndarray, x: np.ndarray, *posting: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(np.full(len(y), kind, np.int32)), pa.array(y), pa.array(x.astype(np.int64))]
+    columns += [pa.array(c) for c in posting] or [pa.nulls(len(y), pa.int64())] * 3
+    return pa.RecordBatch.from_arrays(columns, ["kind", "y", "x", "token", "parity", "shape"])
 
-    With ``first`` each class gets its so many earliest seen candidates, and
-    ``more`` tells whether it has others.
+
+def _whole_lists(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """Sorted rows in pieces that end where a key does."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        same = np.ones(batch.num_rows, dtype=bool)
+        for c in key:
+            column = batch.column(c).to_numpy()
+            same &= column == column[-1]
+        tail = int(np.argmax(same))  # the last list may go on in the next batch
+        if held and not tail and any(held[-1].column(c)[-1] != batch.column(c)[0] for c in key):
+            yield _plain(held)
+            held = []
+        if tail:
+            yield _plain([*held, batch.slice(0, tail)])
+            held = [batch.slice(tail)]
+        else:
+            held.append(batch)
+    if held:
+        yield _plain(held)
+
+
+def _plain(batches: list[pa.RecordBatch]) -> dict[str, np.ndarray]:
+    table = pa.Table.from_batches(batches)
+    return {c: table.column(c).to_numpy() for c in table.column_names}
+
+
+def _first_pairs(percent: int, first: int):
+    """Kind 0: pairs of sets, a posting with the nearest ``first`` candidates before it in its list.
+    Kind 1: a posting of set y in a list where some had more of them, or may have; x is 1 for those.
+
+    Rows are sorted by (token, span, seen, line). All lists of a piece are
+    compared at once, with the rows 1, 2, ... BLOCK before.
     """
-    names = ["s1", "m", "place", "parity", "seen"]
-
-    def flush(rows: dict[str, np.ndarray], out: list) -> None:
-        order = np.lexsort((rows["seen"], rows["s1"]))
-        rows = {c: v[order] for c, v in rows.items()}
-        keep = np.ones(len(order), dtype=bool)
-        keep[1:] = (rows["s1"][1:] != rows["s1"][:-1]) | (rows["side"][1:] != rows["side"][:-1])
-        rows = {c: v[keep] for c, v in rows.items()}
-        left = {c: v[rows["side"] != 1] for c, v in rows.items()}
-        right = {c: v[rows["side"] != 0] for c, v in rows.items()}
-        order = np.argsort(right["seen"], kind="stable")
-        right = {c: v[order] for c, v in right.items()}
-        # blocks of rows, so that one huge list never needs its whole square at once
-        for start in range(0, len(left["s1"]), BLOCK):
-            part = {c: v[start : start + BLOCK] for c, v in left.items()}
-            ok = candidates(part, right, percent)
-            count = ok.sum(axis=1)
-            if first is not None:
-                ok &= np.cumsum(ok, axis=1) <= first
-            y, x = np.nonzero(ok)
-            if len(y):
-                more = count[y] > first if first is not None else np.zeros(len(y), bool)
-                out.append((part["s1"][y], right["s1"][x], more))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        for rows in _whole_lists(batches, ["token", "span"]):
+            group = np.concatenate([[0], np.cumsum((np.diff(rows["token"]) != 0) | (np.diff(rows["span"]) != 0))])
+            tried = np.zeros(len(group), dtype=np.int64)
+            more = rows["span"] != 0  # other spans are untried
+            at = np.arange(1, len(group))
+            back = 1
+            while True:
+                at = at[at >= back]
+                at = at[group[at] == group[at - back]]
+                if not len(at):
+                    break
+                if back > BLOCK:
+                    more[at] = True
+                    break
+                left = {c: rows[c][at] for c in ("s1", "parity", "shape")}
+                right = {c: rows[c][at - back] for c in ("s1", "parity", "shape")}
+                hit = at[candidates(left, right, percent)]
+                full = tried[hit] >= first
+                more[hit[full]] = True
+                hit = hit[~full]
+                tried[hit] += 1
+                if len(hit):
+                    yield _found(0, rows["s1"][hit], rows["s1"][hit - back])
+                at = at[~more[at]]
+                back += 1
+            listed = np.isin(group, group[more])
+            if listed.any():
+                yield _found(1, rows["s1"][listed], more[listed], *[rows[c][listed] for c in ("token", "parity", "shape")])
+
+    return join
 
-        def emit(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            keys = np.column_stack([table.column(c).to_numpy() for c in ("token", "i", "j")])
-            columns = {c: table.column(c).to_numpy() for c in [*names, "side"]}
+
+def _all_pairs(percent: int):
+    """All candidates of the postings of side 0 among those of side 1, by (token, i, j)."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_lists(batches, ["token", "i", "j"]):
+            keys = np.column_stack([rows[c] for c in ("token", "i", "j")])
             cuts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1), [True]]))
-            out: list = []
+            out = []
             for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                if hi - lo > 1:
-                    flush({c: v[lo:hi] for c, v in columns.items()}, out)
+                part = {c: rows[c][lo:hi] for c in ("s1", "parity", "shape", "side")}
+                asks, answers = np.flatnonzero(part["side"] == 0), np.flatnonzero(part["side"] == 1)
+                for y in asks.tolist():
+                    left = {c: part[c][np.full(len(answers), y)] for c in ("s1", "parity", "shape")}
+                    right = {c: part[c][answers] for c in ("s1", "parity", "shape")}
+                    hit = answers[candidates(left, right, percent)]
+                    if len(hit):
+                        out.append((np.full(len(hit), part["s1"][y]), part["s1"][hit]))
             if out:
-                y, x, more = (np.concatenate(c) for c in zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(y), pa.array(x), pa.array(more)], ["y", "x", "more"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = [batch.column(c)[-1].as_py() for c in ("token", "i", "j")]
-            same = np.ones(batch.num_rows, dtype=bool)
-            for c, value in zip(("token", "i", "j"), key, strict=True):
-                same &= batch.column(c).to_numpy() == value
-            tail = int(np.argmax(same))  # the last group may go on in the next batch
-            if tail:
-                held.append(batch.slice(0, tail))
-                yield from emit(pa.Table.from_batches(held))
-                held = [batch.slice(tail)]
-            else:
-                if held and [held[-1].column(c)[-1].as_py() for c in ("token", "i", "j")] != key:
-                    yield from emit(pa.Table.from_batches(held))
-                    held = []
-                held.append(batch)
-        if held:
-            yield from emit(pa.Table.from_batches(held))
+                y, x = (np.concatenate(c) for c in zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(y), pa.array(x)], ["y", "x"])
 
     return join
 
 
-def _grouped(postings: DataFrame, probing: DataFrame | None, percent: int, first: int | None) -> DataFrame:
-    """Candidate pairs (y, x) of postings; with ``probing`` only y from there."""
-    if probing is not None:
-        probe = postings.join(probing, "s1", "left_semi")
-        tokens = probe.select("token").distinct()
-        postings = postings.join(tokens, "token", "left_semi")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    hot = postings.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK).select("token", blocks.alias("b"))
-    hot = stored(hot, "hot")
-    hot_small = F.broadcast(hot) if hot.count() <= 200_000 else hot
-    columns = ["token", "i", "j", "side", "s1", "m", "place", "parity", "seen"]
-    block = F.pmod(F.xxhash64("s1"), F.col("b")).cast("int")
-    cold_left = postings if probing is None else probe
-    cold_keys = [F.lit(0).alias("i"), F.lit(0).alias("j")]
-    if probing is None:
-        cold = postings.join(hot_small, "token", "left_anti").select("*", *cold_keys, F.lit(2).alias("side"))
-        everyone = cold.select(*columns)
-    else:
-        cold = cold_left.join(hot_small, "token", "left_anti").select("*", *cold_keys, F.lit(0).alias("side"))
-        other = postings.join(hot_small, "token", "left_anti").select("*", *cold_keys, F.lit(1).alias("side"))
-        everyone = cold.select(*columns).unionByName(other.select(*columns))
-    if not hot.isEmpty():
-        # every block of y meets every block of x
-        hot_left = cold_left.join(hot_small, "token").withColumn("i", block).withColumn("side", F.lit(0))
-        hot_left = hot_left.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("b") - 1)))
-        hot_right = postings.join(hot_small, "token").withColumn("j", block).withColumn("side", F.lit(1))
-        hot_right = hot_right.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("b") - 1)))
-        everyone = everyone.unionByName(hot_left.select(*columns)).unionByName(hot_right.select(*columns))
-    spread = everyone.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return spread.mapInArrow(_pairs(percent, first), "y bigint, x bigint, more boolean")
+def _blocks(postings: DataFrame) -> DataFrame:
+    """Number of blocks of each token whose list is longer than one."""
+    counts = postings.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK)
+    return stored(counts.select("token", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "blocks")
+
+
+def _first(postings: DataFrame, percent: int) -> DataFrame:
+    spread = postings.repartition("token", "span").sortWithinPartitions("token", "span", "seen", "line")
+    return spread.mapInArrow(_first_pairs(percent, FIRST), _FOUND)
+
+
+def _rest(lists: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
+    """All candidate pairs (y, x) of the open sets y in these lists, in blocks of bounded size."""
+    asks = lists.join(open_, "s1", "left_semi")
+    blocks = _blocks(lists)
+    few = F.broadcast(blocks) if blocks.count() <= 200_000 else blocks
+    columns = ["token", "i", "j", "side", "s1", "parity", "shape"]
+    block = F.pmod(F.xxhash64("s1"), F.col("blocks")).cast("int")
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.join(few, "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = counted(asks).withColumn("i", block).withColumn("j", every).withColumn("side", F.lit(0))
+    right = counted(lists).withColumn("j", block).withColumn("i", every).withColumn("side", F.lit(1))
+    both = left.select(*columns).unionByName(right.select(*columns))
+    spread = both.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return spread.mapInArrow(_all_pairs(percent), "y bigint, x bigint")
 
 
 def _word_sets(docs: DataFrame, involved: DataFrame) -> DataFrame:
@@ -276,13 +362,13 @@ def _word_sets(docs: DataFrame, involved: DataFrame) -> DataFrame:
         for batch in batches:
             wanted = batch.column(1).to_pylist()
             for lo, hi in chunks(batch.column(0)):
-                doc, number, bounds, hashes = _lines(batch.column(0)[lo:hi])
+                doc, number, bounds, tokens = _line_sets(batch.column(0)[lo:hi])
                 at = {(int(d), int(k)): i for i, (d, k) in enumerate(zip(doc, number, strict=True))}
                 rows = []
                 for d in range(lo, hi):
                     for need in wanted[d]:
                         i = at[d - lo, need["line"]]
-                        rows.append((need["s1"], np.sort(hashes[bounds[i] : bounds[i + 1]]).view(np.int64)))
+                        rows.append((need["s1"], tokens[bounds[i] : bounds[i + 1]].view(np.int64)))
                 if rows:
                     s1, sets = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays(
@@ -332,40 +418,51 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     workers_import(spark)
     keyed = _keyed(docs)
     table = stored(keyed.mapInArrow(_line_table, _LINE_FIELDS), "lines")
-    lines = table.filter("kind = 0").drop("kind")
-    slots = table.filter("kind = 1").groupBy("doc").agg(F.sum("twin").alias("n")).toPandas()  # at most SLOTS rows
+    lines = table.filter("kind = 0").drop("kind", "counts")
+    vectors = table.filter("kind = 1").select("doc", "counts").repartition("doc")
     count = np.zeros(SLOTS, dtype=np.int64)
-    count[slots["doc"].to_numpy(dtype=np.int64)] = slots["n"].to_numpy(dtype=np.int64)
-    rank = np.empty(SLOTS, dtype=np.int32)
-    rank[np.argsort(count, kind="stable")] = np.arange(SLOTS, dtype=np.int32)
+    for row in vectors.mapInArrow(_added, "doc bigint, counts binary").collect():  # SLOTS numbers in all
+        count[row["doc"] * VECTOR : (row["doc"] + 1) * VECTOR] = np.frombuffer(row["counts"], dtype=np.int64)
+    rank = np.empty(SLOTS, dtype=np.uint32)
+    rank[np.argsort(count, kind="stable")] = np.arange(SLOTS, dtype=np.uint32)
 
     by_set = ["s1", "s2", "m"]
     classes = lines.groupBy(*by_set).agg(F.min(F.struct("doc", "twin", "line")).alias("first"))
     classes = stored(classes.select(*by_set, "first.doc", "first.twin", "first.line"), "classes")
-    postings = keyed.mapInArrow(_postings(rank, percent), _POSTING)
-    postings = stored(postings, "postings")
     order = classes.select("s1", F.struct("doc", "twin", "line").alias("at"))
 
     def matched(pairs: DataFrame, name: str) -> DataFrame:
         """The classes among y and x that have an earlier match in these pairs."""
         involved = pairs.select(F.explode(F.array("y", "x")).alias("s1")).distinct()
         where = classes.join(involved, "s1").select("s1", "doc", "twin", "line")
-        sets = stored(_word_sets(keyed, where), f"sets-{name}")
-        good = stored(_matching(pairs, sets, percent), f"matches-{name}")
+        good = stored(_matching(pairs, _word_sets(keyed, where), percent), f"matches-{name}")
         placed = good.join(order.select(F.col("s1").alias("y"), F.col("at").alias("at_y")), "y").join(
             order.select(F.col("s1").alias("x"), F.col("at").alias("at_x")), "x"
         )
         return placed.select(F.when(F.col("at_x") < F.col("at_y"), F.col("y")).otherwise(F.col("x")).alias("s1")).distinct()
 
-    found = stored(_grouped(postings, None, percent, FIRST), "pairs")
-    once = found.select(F.least("y", "x").alias("y"), F.greatest("y", "x").alias("x")).distinct()
+    def unordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("y", "x").alias("y"), F.greatest("y", "x").alias("x")).distinct()
+
+    postings = keyed.mapInArrow(_postings(rank, count > LONG_LIST, percent), _POSTING)
+    found = stored(_first(postings, percent), "found")
+    once = stored(unordered(found.filter("kind = 0")), "pairs")
     late = stored(matched(once, "first"), "late")
-    open_ = stored(found.filter("more").select(F.col("y").alias("s1")).distinct().join(late, "s1", "left_anti"), "open")
+    # Of a set that has been found late there is nothing more to learn.
+    lists = found.filter("kind = 1").withColumnRenamed("y", "s1")
+    tried = lists.filter("x = 1").select("s1", "token")
+    open_ = stored(tried.join(late, "s1", "left_anti").distinct(), "open")
     if not open_.isEmpty():
-        rest = _grouped(postings, open_, percent, None)
-        rest = rest.select(F.least("y", "x").alias("y"), F.greatest("y", "x").alias("x")).distinct()
+        tokens = open_.select("token").distinct()
+        if open_.count() <= 1_000_000:
+            tokens = F.broadcast(tokens)
+        lists = lists.select("token", "s1", "parity", "shape").join(tokens, "token", "left_semi")
+        rest = unordered(_rest(lists, open_.select("s1").distinct(), percent))
         rest = stored(rest.join(once, ["y", "x"], "left_anti"), "rest")
         late = stored(late.unionByName(matched(rest, "rest")).distinct(), "all-late")
+        discard(rest)
+    for step in (found, once, open_):
+        discard(step)
 
     firsts = classes.join(late.withColumn("late", F.lit(True)), "s1", "left").select(
         *by_set, F.struct("doc", "twin", "line").alias("first"), "late"
@@ -387,6 +484,10 @@ def without_repeats(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     keyed = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LATEST))).withColumn(
         "_twin", F.xxhash64("text")
     )
+    gone = stored(gone, "gone")
+    size = gone.agg(F.count("*").alias("docs"), F.sum(F.size("_gone")).alias("lines")).first()
+    if size.docs <= BROADCAST_DOCS and (size.lines or 0) <= BROADCAST_LINES:
+        gone = F.broadcast(gone)
     joined = keyed.join(gone, ["_doc", "_twin"], "left")
     lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda line, i: ~F.array_contains("_gone", i))

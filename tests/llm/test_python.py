@@ -146,6 +146,8 @@ def lines_by_force(texts, ids):
 def test_lines_as_by_force(spark, monkeypatch, block, first):
     monkeypatch.setattr(linededup, "BLOCK", block)
     monkeypatch.setattr(linededup, "FIRST", first)
+    monkeypatch.setattr(linededup, "LONG_LIST", 20 if block == 4 else 10**9)
+    monkeypatch.setattr(linededup, "SPAN", 8)
     rng = random.Random(9)
     pool = [" ".join(f"p{rng.randint(0, 40)}" for _ in range(rng.randint(1, 25))) for _ in range(30)]
     texts = ["\n".join(" ".join(noisy(rng, rng.choice(pool).split(), rng.choice([0, 0.1]))) for _ in range(4)) for _ in range(60)]
