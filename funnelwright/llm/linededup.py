@@ -26,8 +26,8 @@ from funnelwright.llm.common import discard, documents, stored, workers_import
 from funnelwright.llm.shingles import _bytes, chunks, mix, words
 
 PERCENT = 80
-#: Lines with fewer distinct words are left alone.
-LEAST_WORDS = 5
+#: Lines with fewer distinct words are left alone: only those without any.
+LEAST_WORDS = 1
 #: Token counts are kept for so many hash slots; a token is as rare as its slot.
 SLOT_BITS = 20
 SLOTS = 1 << SLOT_BITS
@@ -144,6 +144,11 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def may_match_others(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Whether a set of so many words can match any but an equal set; the nearest is one with one word more."""
+    return 100 * size >= percent * (size + 1)
+
+
 def prefix_length(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return size + (-size * percent) // 100 + 1  # size - ceil(share of size) + 1
 
@@ -155,7 +160,7 @@ _MEET = np.uint64(TOKEN_BITS - 32)
 
 
 def _postings(rank: np.ndarray, long_slots: np.ndarray, percent: int):
-    """Prefix tokens of every line: where it was seen, its set, the set's parity, and size and place.
+    """Prefix tokens of every line that may match an unequal one: where it was seen, its set, the set's parity, and size and place.
 
     ``span`` is 0, or tells the part of a list that may be long. A set that the
     task has posted is posted again only from an earlier document, so its
@@ -175,7 +180,7 @@ def _postings(rank: np.ndarray, long_slots: np.ndarray, percent: int):
                 plain = (slot_of[(tokens >> _LOW_BITS).astype(np.int64)] << _LOW_BITS) | (tokens & _LOW)
                 s1 = _digest(bounds, plain)
                 size = np.diff(bounds)
-                wanted = size >= LEAST_WORDS
+                wanted = may_match_others(size, percent)
                 if len(seen) > REMEMBERED:
                     seen.clear()
                 where = ids[lo:hi][doc]
@@ -411,8 +416,7 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc``, ``twin`` and ``gone``: the numbers (from 0) of the lines that go, where any do.
 
     Lines are ordered by document id (null last), a hash of the text, and number;
-    rows equal in id and text count as one. Lines of fewer than ``LEAST_WORDS``
-    distinct words stay.
+    rows equal in id and text count as one. Lines without a word stay.
     """
     spark = docs.sparkSession
     workers_import(spark)

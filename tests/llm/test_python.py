@@ -167,6 +167,14 @@ def test_lines_of_odd_tables(spark):
     assert sorted((r.doc_id or 9, r.text) for r in out) == [(1, line), (1, line), (9, "")]
 
 
+def test_short_lines_take_part(spark):
+    texts = ["ok\na b c d\n\n中文没有空格的一行\n \nx y", "OK\na b c d e\n\n中文没有空格的一行\n \nx z\ny x x", "a b c e f\nok ok\nd c b a"]
+    out = linededup.without_repeats(docs_of(spark, texts)).orderBy("doc_id").collect()
+    # (4, 5) words at exactly 0.80 match; lines without a word stay
+    assert [r.text for r in out] == [texts[0], "\n \nx z", "a b c e f"]
+    assert [r.n_removed for r in out] == [0, 4, 2]
+
+
 def counts_by_force(text):
     words = WORD.findall(text or "")
     seen = defaultdict(list)
