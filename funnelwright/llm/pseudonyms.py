@@ -24,17 +24,26 @@ _START, _END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 #: By kind, in order of precedence. A shape has no groups that capture.
 SHAPES = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "secret": r"(?<=(?:token|secret|api_key|password) ?[=:] ?\"?)[0-9a-f]{32,64}" + _END,
+    "secret": r"(?<=(?i:token|secret|api_key|password) ?[=:] ?\"?)[0-9a-fA-F]{32,64}" + _END,
     "iban": _START + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END,
     "date": _START
-    + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})"
-    + _END,
+    + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?:(?=[Tt][0-9]{2})|(?![\p{L}\p{N}]))|(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})"
+    + _END
+    + ")",
     "ssn": _START + r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9])" + _END,
     "ip": r"(?<![\p{L}\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[\p{L}\p{N}])",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?"
-    r"(?:\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}"
-    r"|(?<=\+[0-9]{1,3}[ .-]?)[0-9]{6,12})" + _END,
-    "card": r"(?<![\p{L}\p{N}]|[0-9][ -])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![ -]?[\p{N}]|\p{L})",
+    # national groups, groups after a country code (8 to 15 digits in all), then one run after a country code
+    "phone": r"(?<![\p{L}\p{N}+])(?:(?:\+[0-9]{1,3}[ .-]?)?"
+    r"(?:\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4})" + _END
+    + r"|\+[0-9](?:[ ().-]{0,2}[0-9]){7,14}"
+    + _END
+    + r"|\+[0-9]{1,3}[ .-]?[0-9]{6,12}"
+    + _END
+    + ")",
+    # a neighbouring number is no part of it; the check digit decides
+    "card": _START
+    + r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})"
+    + _END,
 }
 PATTERN = "|".join(f"(?:{s})" for s in SHAPES.values())
 _LETTERS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -311,6 +320,16 @@ def _phone(value: Column, key: Column) -> Column:
     return bound(country, moved)
 
 
+def _secret(value: Column, key: Column) -> Column:
+    """Hex digits permuted; a value of one case stays in it, of both cases moves among all digits."""
+    tweak = F.lit("secret")
+    plain = permute_symbols(F.lower(value), "0123456789abcdef", key, tweak)
+    mixed = permute_symbols(value, "0123456789abcdefABCDEF", key, tweak)
+    return (
+        F.when(~value.rlike("[A-F]"), plain).when(~value.rlike("[a-f]"), F.upper(plain)).otherwise(mixed)
+    )
+
+
 def _email(value: Column, key: Column) -> Column:
     """The mailbox becomes 16 keyed hex digits; its domain stays."""
     at = F.instr(value, "@")
@@ -323,7 +342,7 @@ def pseudonym(value: Column, key: Column) -> Column:
     """Kind and pseudonym of a value of one of the shapes; null if it is not valid."""
     moved = {
         "email": _email(value, key),
-        "secret": permute_symbols(value, "0123456789abcdef", key, F.lit("secret")),
+        "secret": _secret(value, key),
         "iban": _iban(value, key),
         "date": _date(value, key),
         "ssn": _ssn(value, key),
@@ -333,7 +352,7 @@ def pseudonym(value: Column, key: Column) -> Column:
     }
     whole = {
         "email": F.instr(value, "@") > 0,
-        "secret": value.rlike("^[0-9a-f]{32,64}$"),
+        "secret": value.rlike("^[0-9a-fA-F]{32,64}$"),
         "iban": value.rlike("^[A-Z]{2}"),
         "date": value.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\2[0-9]{4})$"),
         "ssn": value.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"),

@@ -126,6 +126,33 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert other != out[0]
 
 
+def test_pseudonyms_find_other_layouts(spark):
+    hex_ = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"
+    texts = [
+        f'TOKEN = "{hex_.upper()}" token = "{hex_}" password: {hex_[:20].upper()}{hex_[20:]}',
+        "7536784127813050 4845168114407329",
+        "4111 1111 1111 1111 4012-8888-8888-1881 12/27",
+        "378282246310005 3782 822463 10005 3782-822463-10006",
+        "+44 20 7946 0958, +33 6 12 34 56 78; +49 (0)30 123456 or +91 98765 43210. +1 22 33",
+        "at 2024-05-06T07:08:09Z, 2024-02-30T07:08:09Z, 2024-05-06 2024-05-06x",
+    ]
+    rows = pseudonyms.pseudonymise(docs_of(spark, texts), "key").orderBy("doc_id").collect()
+    out = [r.text for r in rows]
+    upper, lower, mixed = re.findall(r"[0-9a-fA-F]{40}", out[0])
+    assert upper == lower.upper() and lower == lower.lower() != hex_ and mixed not in texts[0]
+    for i, shape in ((1, r"(\d{16}) (\d{16})"), (2, r"((?:\d{4} ){3}\d{4}) ((?:\d{4}-){3}\d{4}) 12/27")):
+        new, old = re.fullmatch(shape, out[i]).groups(), re.fullmatch(shape, texts[i]).groups()
+        assert all(a != b and luhn(re.sub(r"\D", "", a)) for a, b in zip(new, old, strict=True))
+    plain, grouped = re.fullmatch(r"(\d{15}) (\d{4} \d{6} \d{5}) 3782-822463-10006", out[3]).groups()
+    assert plain == grouped.replace(" ", "") != "378282246310005" and luhn(plain)
+    assert re.sub(r"\d", "0", out[4]) == re.sub(r"\d", "0", texts[4]) and out[4].endswith("+1 22 33")
+    assert [c for c in re.findall(r"\+\d+ ", out[4])] == ["+44 ", "+33 ", "+49 ", "+91 ", "+1 "]
+    assert not any(p in out[4] for p in ("20 7946 0958", "6 12 34 56 78", "30 123456", "98765 43210"))
+    stamp, day = re.fullmatch(r"at (\S{10})T07:08:09Z, 2024-02-30T07:08:09Z, (\S{10}) 2024-05-06x", out[5]).groups()
+    assert stamp == day != "2024-05-06"
+    assert [len(r.found) for r in rows] == [3, 2, 2, 2, 4, 2]
+
+
 def test_pseudonyms_permute_whole_domains(spark):
     key = F.lit("k")
     days = spark.sql("SELECT explode(sequence(date'1900-01-01', date'2099-12-31')) AS d")
