@@ -316,7 +316,8 @@ def held_out(doc_id: str) -> Column:
 def train(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on at most ``sample`` labelled rows whose id is not held out.
 
-    The rows are the first by a hash of their ids, whole texts. A row labelled
+    The rows are the first by a hash of their ids, whole texts; of texts that
+    share an id, the first by a hash of the text. A row labelled
     twice is toxic if one label says so; null labels and ids do not count.
     """
     chosen = (
@@ -327,8 +328,10 @@ def train(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> Model:
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy("doc_id").toPandas()
-    rows = rows.drop_duplicates("doc_id")
+    one = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(
+        F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
+    )
+    rows = one.select("doc_id", "first.text", "toxic").orderBy("doc_id").toPandas()
     return fit([t or "" for t in rows["text"]], [int(t) for t in rows["toxic"]])
 
 

@@ -267,6 +267,22 @@ def test_toxicity_finds_spans_held_out(spark):
     assert toxicity.fit([], []).curve[0] == 0.0
 
 
+def test_training_takes_one_text_of_an_id(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(toxicity, "held_out", lambda doc_id: toxicity.F.lit(False))
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic: (texts, toxic))
+    collected, to_pandas = [], DataFrame.toPandas
+    monkeypatch.setattr(DataFrame, "toPandas", lambda df: collected.append(to_pandas(df)) or collected[-1])
+    texts = [f"text {i}" for i in range(50)] + ["other"]
+    ids = [7] * 50 + [8]
+    marks = spark.createDataFrame([(7, 1), (8, 0)], "doc_id bigint, toxic int")
+    ahead = toxicity.train(docs_of(spark, texts, ids), marks)
+    back = toxicity.train(docs_of(spark, texts[::-1], ids[::-1]).repartition(3), marks)
+    assert ahead == back and ahead[1] == [1, 0] and ahead[0][1] == "other"
+    assert [len(rows) for rows in collected] == [2, 2]
+
+
 def test_encoding_is_the_best_segmentation_and_decodes():
     import sentencepiece
 
