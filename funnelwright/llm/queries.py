@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from funnelwright.llm import licences, linededup, neardup, packing, pieces, pseudonyms, quality, sharding, toxicity, winnow
+from funnelwright.llm import (
+    licences,
+    linededup,
+    mixing,
+    neardup,
+    packing,
+    periods,
+    pieces,
+    pseudonyms,
+    quality,
+    sharding,
+    toxicity,
+    variants,
+    winnow,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": winnow.op1_winnowing,
@@ -19,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": licences.op8_licences,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_packing": packing.op10_packing,
+    "op11_variants": variants.op11_variants,
+    "op12_mixing": mixing.op12_mixing,
+    "op13_periods": periods.op13_periods,
 }
 
 ORACLES: dict[str, str] = {
