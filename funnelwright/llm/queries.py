@@ -42,3 +42,19 @@ ORACLES: dict[str, str] = {
     "op4_sharding": sharding.OP4_SQL,
     "op8_licences": licences.OP8_SQL,
 }
+
+#: Why the others have no SQL; each is tested against a brute-force version, a round trip or held-out accuracy.
+WITHOUT_SQL: dict[str, str] = {
+    "op1_winnowing": "rolling hashes over code points",
+    "op2_pseudonyms": "keyed permutations",
+    "op3_pieces": "a best path over an automaton",
+    "op5_lines": "a similarity join whose later matches follow from earlier ones",
+    "op6_near_duplicates": "components of a graph of any depth",
+    "op7_quality": "iterated robust estimates",
+    "op9_toxicity": "a fitted chain of labels",
+    "op10_packing": "a linear program",
+    "op11_variants": "CRC-32, and chains of any length",
+    "op12_mixing": "drawn numbers",
+    "op13_periods": "CRC-32, and a search for periods",
+    "pipeline": "stages of these",
+}
