@@ -44,7 +44,8 @@ def _count_stages(stages: list[DataFrame], group: list[str]) -> DataFrame:
     )
 
 
-def _with_rates(counts: DataFrame) -> DataFrame:
+def stage_rates(counts: DataFrame) -> DataFrame:
+    """Add fill, win and click rates to counts of the four stages."""
     return counts.withColumns(
         {
             "fill_rate": ratio(F.col("bid_responses"), F.col("bid_requests")),
@@ -106,7 +107,7 @@ def hourly_funnel(
         CLICK_WAIT,
     ).select(*group, "click_id")
     stages = [base.select(*group, "request_id"), answered, won, clicked]
-    return _with_rates(_count_stages(stages, group))
+    return stage_rates(_count_stages(stages, group))
 
 
 def linked_funnel(
@@ -125,7 +126,7 @@ def linked_funnel(
         .distinct()
     )
     clicked = won.join(edges(clicks, "impression_id", "click_id"), "impression_id").select(*group, "click_id")
-    return _with_rates(_count_stages([base, answered, won, clicked], group))
+    return stage_rates(_count_stages([base, answered, won, clicked], group))
 
 
 def leakage(funnel: DataFrame, time_column: str) -> DataFrame:

@@ -17,6 +17,11 @@ def _event_ts() -> Column:
     return event_time(F.col("event_timestamp")).alias("event_ts")
 
 
+def seat_bids() -> Column:
+    """The bids of all seats in one array. A seat without a list of bids has none; the others keep theirs."""
+    return F.flatten(F.filter(F.col("seatbid.bid"), lambda bids: bids.isNotNull()))
+
+
 def request_stage(requests: DataFrame) -> DataFrame:
     """request_id, event_ts, publisher_id, country, is_invalid; one row per event.
 
@@ -39,14 +44,16 @@ def request_stage(requests: DataFrame) -> DataFrame:
     )
 
 
-def response_stage(responses: DataFrame) -> DataFrame:
-    """response_id, request_id, event_ts; one row per event."""
-    return responses.select(F.col("id").alias("response_id"), F.col("ext.request_id").alias("request_id"), _event_ts())
+def response_stage(responses: DataFrame, *more: Column) -> DataFrame:
+    """response_id, request_id, event_ts and what else is asked for; one row per event."""
+    return responses.select(
+        F.col("id").alias("response_id"), F.col("ext.request_id").alias("request_id"), _event_ts(), *more
+    )
 
 
 def bid_stage(responses: DataFrame) -> DataFrame:
     """bid_id, request_id, bid_price, event_ts; one row per bid of every seat."""
-    bids = F.explode(F.flatten(F.col("seatbid.bid"))).alias("bid")
+    bids = F.explode(seat_bids()).alias("bid")
     return responses.select(F.col("ext.request_id").alias("request_id"), _event_ts(), bids).select(
         F.col("bid.id").alias("bid_id"), "request_id", F.col("bid.price").alias("bid_price"), "event_ts"
     )

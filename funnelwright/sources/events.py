@@ -30,24 +30,31 @@ def event_batch(spark: SparkSession, name: str, path: str, file_format: str = "p
     return spark.read.schema(event_schema(name)).format(file_format).load(path)
 
 
+def decoded(messages: DataFrame, name: str, avro_schema: str | None = None) -> DataFrame:
+    """Events out of message ``value`` bytes, as JSON, or as Avro behind a five-byte registry header.
+
+    A value that cannot be read gives a row of nulls, which the ingest rules turn away.
+    """
+    if avro_schema:
+        from pyspark.sql.avro.functions import from_avro
+
+        event = from_avro(F.expr("substring(value, 6)"), avro_schema)
+    else:
+        event = F.from_json(F.col("value").cast("string"), event_schema(name))
+    rows = messages.select(event.alias("event")).select("event.*")
+    return rows.select(*event_schema(name).fieldNames())
+
+
 def event_topic(spark: SparkSession, name: str, servers: str, avro_schema: str | None = None) -> DataFrame:
     """A stream over a Kafka topic from its first offset; needs the Kafka package.
 
-    Values are JSON, or Avro behind a five-byte registry header if a schema is
-    given, which also needs the Avro package.
+    Values are JSON, or Avro if a schema is given, which also needs the Avro package.
     """
-    raw = (
+    messages = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", TOPICS[name])
         .option("startingOffsets", "earliest")
         .load()
     )
-    if avro_schema:
-        from pyspark.sql.avro.functions import from_avro
-
-        event = from_avro(F.expr("substring(value, 6)"), avro_schema)
-    else:
-        event = F.from_json(F.col("value").cast("string"), event_schema(name))
-    rows = raw.select(event.alias("event")).select("event.*")
-    return rows.select(*event_schema(name).fieldNames())
+    return decoded(messages, name, avro_schema)

@@ -169,6 +169,12 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()]
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder, none if it does not exist."""
+    files, target = _hadoop_path(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(target) if s.isFile()] if files.exists(target) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote."""
     files, target = _hadoop_path(spark, path)

@@ -4,7 +4,9 @@ Distinct counts cannot be kept in streaming state. So each micro-batch lands
 its rows, finds the hours they can change, and recomputes those hours with
 the batch operators over the landed rows. Overwriting an hour is an upsert of
 all of its keys, and doing it twice changes nothing. All copies of an event
-must carry the same event time, as a resent event does.
+must carry the same event time, as a resent event does. Landed rows live for
+``TTL_HOURS`` of event time: later events go to ``expired``, and each batch removes the
+hours that none can reach any more.
 """
 
 from __future__ import annotations
@@ -18,9 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from funnelwright.functions import event_time
 from funnelwright.operators import funnel, landscape, quality, serving, stages
 from funnelwright.sources.tables import delete_path, path_exists, replace_partitions, subfolders
+from funnelwright.streaming import late
 
 # A row can change windows this many seconds before or after its own time: a
 # click reaches back to its request, a request forward to its impressions.
@@ -30,6 +32,8 @@ AHEAD = max(serving.REQUEST_LEAD, landscape.AFTER_REQUEST)
 Frames = Mapping[str, DataFrame]
 
 _HOUR = "yyyy-MM-dd-HH"
+#: How far behind the newest event one is still taken, and so how long landed rows live.
+TTL_HOURS = 24
 
 
 def _funnel(f: Frames) -> DataFrame:
@@ -48,27 +52,35 @@ AGGREGATES: dict[str, Callable[[Frames], DataFrame]] = {
 }
 
 
+# Columns of landed rows, whichever streams are there.
+_COLUMNS = """request_id string, response_id string, impression_id string, click_id string, publisher_id int,
+    country string, is_invalid boolean, bids array<struct<bid_id: string, bid_price: double>>, bidder_id int,
+    win_price double, event_ts timestamp"""
+
+
 def envelope(events: Mapping[str, DataFrame]) -> DataFrame:
-    """All four event streams as one stream of narrow rows, so one query sees them all."""
+    """The event streams as one stream of narrow rows, so one query sees them all.
+
+    A stream that is left out has no rows.
+    """
     bids = F.transform(
-        F.flatten(F.col("seatbid.bid")), lambda b: F.struct(b["id"].alias("bid_id"), b["price"].alias("bid_price"))
+        stages.seat_bids(), lambda b: F.struct(b["id"].alias("bid_id"), b["price"].alias("bid_price"))
     )
-    responses = events["bid_responses"].select(
-        F.col("id").alias("response_id"),
-        F.col("ext.request_id").alias("request_id"),
-        event_time(F.col("event_timestamp")).alias("event_ts"),
-        bids.alias("bids"),
-    )
-    frames = {
-        "requests": stages.request_stage(events["bid_requests"]),
-        "responses": responses,
-        "impressions": stages.impression_stage(events["impressions"]),
-        "clicks": stages.click_stage(events["clicks"]),
+
+    cuts = {
+        "requests": ("bid_requests", stages.request_stage),
+        "responses": ("bid_responses", lambda responses: stages.response_stage(responses, bids.alias("bids"))),
+        "impressions": ("impressions", stages.impression_stage),
+        "clicks": ("clicks", stages.click_stage),
     }
-    return reduce(
+    frames = {stage: cut(events[name]) for stage, (name, cut) in cuts.items() if name in events}
+    known = {c for df in frames.values() for c in df.columns}
+    missing = [f for f in StructType.fromDDL(_COLUMNS) if f.name not in known]
+    rows = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
         [df.withColumn("stage", F.lit(stage)) for stage, df in frames.items()],
     ).filter(F.col("event_ts").isNotNull())
+    return rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
 
 
 def _landed(spark: SparkSession, root: str, hours: list[str], schema: StructType) -> Frames:
@@ -101,18 +113,41 @@ def _landed(spark: SparkSession, root: str, hours: list[str], schema: StructType
     }
 
 
-def upsert_batch(batch: DataFrame, batch_id: int, root: str, tables: list[str]) -> None:
+def upsert_batch(
+    batch: DataFrame, batch_id: int, root: str, tables: list[str], ttl_hours: int | None = TTL_HOURS
+) -> None:
+    """Land a micro-batch and restate the hours it can change.
+
+    Rows further behind the newest event of earlier batches than the time to live
+    are landed apart, since the rows they would be counted with are gone. None
+    keeps all.
+    """
     spark = batch.sparkSession
     hour = F.date_format("event_ts", _HOUR)
-    landed = batch.withColumn("event_hour", hour).withColumn("batch_id", F.lit(batch_id))
-    batch.persist()
+    batch = batch.withColumn("event_hour", hour).withColumn("batch_id", F.lit(batch_id)).persist()
+    try:
+        behind = late.watermark(spark, root, batch_id, ttl_hours * 3600) if ttl_hours else None
+        if behind is not None:
+            replace_partitions(batch.filter(late.is_late("event_ts", behind)), f"{root}/expired", ["stage", "batch_id"])
+        _restate(batch.filter(~late.is_late("event_ts", behind)), root, tables)
+        if ttl_hours:
+            late.advance(batch, batch_id, root, "event_ts")
+    finally:
+        batch.unpersist()
+    if behind is not None:
+        # Rows after the watermark restate hours from BACK seconds before it on, and read one hour more.
+        reached = datetime(1970, 1, 1) + timedelta(microseconds=behind) - timedelta(seconds=BACK)
+        expire_landed(spark, root, reached - timedelta(hours=1))
+
+
+def _restate(landed: DataFrame, root: str, tables: list[str]) -> None:
+    spark = landed.sparkSession
     replace_partitions(landed, f"{root}/landed", ["stage", "event_hour", "batch_id"])
     reach = F.array(
         *[F.date_format(F.timestamp_micros(F.unix_micros("event_ts") + s * 1_000_000), _HOUR) for s in (-BACK, 0, AHEAD)]
     )
     # A list of hours: a few for live data, a few thousand for a backfill of months.
-    hours = sorted(r[0] for r in batch.select(F.explode(reach)).distinct().collect())
-    batch.unpersist()
+    hours = sorted(r[0] for r in landed.select(F.explode(reach)).distinct().collect())
     if not hours:
         return
     frames = _landed(spark, root, hours, landed.schema)
@@ -129,11 +164,11 @@ def upsert_batch(batch: DataFrame, batch_id: int, root: str, tables: list[str])
 
 
 def expire_landed(spark: SparkSession, root: str, before: datetime) -> int:
-    """Remove landed rows of hours before a time; returns how many folders went.
+    """Remove landed rows of hours before that of a time; returns how many folders went.
 
-    A job of its own, never part of a batch: events that arrive for a removed
-    hour afterwards would restate it from themselves alone, so ``before`` must lie
-    behind anything that may still arrive, by the reach of the joins.
+    Events that arrive for a removed hour afterwards would restate it from
+    themselves alone, so ``before`` must lie behind anything that is still
+    taken, by the reach of the joins.
     """
     base, limit, gone = f"{root}/landed", before.strftime("%Y-%m-%d-%H"), 0
     if not path_exists(spark, base):
@@ -152,12 +187,13 @@ def start_upserts(
     checkpoint: str,
     tables: list[str] | None = None,
     trigger: dict | None = None,
+    ttl_hours: int | None = TTL_HOURS,
 ) -> StreamingQuery:
     """Start the aggregation query over all four event streams."""
     names = list(tables or AGGREGATES)
     return (
         envelope(events)
-        .writeStream.foreachBatch(lambda batch, batch_id: upsert_batch(batch, batch_id, root, names))
+        .writeStream.foreachBatch(lambda batch, batch_id: upsert_batch(batch, batch_id, root, names, ttl_hours))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "60 seconds"}))
         .start()

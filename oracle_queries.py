@@ -746,6 +746,25 @@ def _dims() -> dict[str, str]:
     }
 
 
+#: Impressions in three parts by event time, some a part late, and the watermark each part meets.
+_LATE_ROWS = """WITH timed AS (SELECT *, epoch_us(event_timestamp) AS us FROM ({impressions})),
+    span AS (SELECT min(us) AS lo, max(us) AS hi FROM timed),
+    dealt AS (SELECT timed.*, least(CASE WHEN us >= lo + 2 * (hi - lo) // 3 THEN 2 WHEN us >= lo + (hi - lo) // 3 THEN 1
+            ELSE 0 END + CASE WHEN impression_id LIKE '%7-%' THEN 1 ELSE 0 END, 2) AS part FROM timed, span),
+    newest AS (SELECT p.part, max(d.us) AS us FROM (SELECT DISTINCT part FROM dealt) p JOIN dealt d ON d.part < p.part
+        GROUP BY 1),
+    judged AS (SELECT dealt.*, coalesce(dealt.us <= (newest.us // 1000 - 30000) * 1000, false) AS is_late
+        FROM dealt LEFT JOIN newest ON dealt.part = newest.part)
+    SELECT 'late' AS kind, date_trunc('minute', event_timestamp) AS window_start, bidder_id, count(*) AS n
+    FROM judged WHERE is_late GROUP BY ALL
+    UNION ALL
+    SELECT 'window', date_trunc('minute', event_timestamp) - h * INTERVAL 1 MINUTE, bidder_id, count(*)
+    FROM (SELECT DISTINCT impression_id, bidder_id, event_timestamp FROM judged WHERE NOT is_late)
+        JOIN (SELECT unnest(range(5)) AS h) ON true GROUP BY ALL
+    UNION ALL
+    SELECT 'minute', window_start, bidder_id, impressions FROM ({serving})"""
+
+
 def oracles() -> dict[str, str]:
     out = {}
     for table in (
@@ -777,7 +796,10 @@ def oracles() -> dict[str, str]:
         "mat_agg_impressions_by_geo": out["v_agg_impressions_by_geo"],
         "scd2_load": out["scd2_current"],
         "stream_rolling": out["rolling_bidder"],
+        "stream_restart": out["rolling_bidder"],
+        "stream_late_rows": _LATE_ROWS.format(impressions=out["ingest_impressions"], serving=out["serving_1m"]),
         "stream_funnel": out["funnel_hourly"],
+        "stream_funnel_delta": out["funnel_hourly"],
         "stream_serving": out["serving_1m"],
         "stream_landscape": out["landscape_hourly"],
         "mat_append": out["v_event_enriched_bid_requests"],

@@ -5,32 +5,40 @@ Each works in a new folder under the cluster's shared folder.
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Callable, Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from funnelwright.functions import event_time, minute_of
 from funnelwright.model import DIMENSION_KEYS, table_schema
 from funnelwright.operators.ingest import FACT_BUILDERS
 from funnelwright.operators.dims import current_version, load_dimension
+from funnelwright.operators.stages import impression_stage
 from funnelwright.plans.materialise import SPECS, materialise
 from funnelwright.session import work_dir
 from funnelwright.sources import derived
 from funnelwright.sources.events import event_files
 from funnelwright.sources.tables import read_table
+from funnelwright.streaming.deltas import STAGE_OF, funnel_counts, run_funnel
 from funnelwright.streaming.ingest import start_ingest
+from funnelwright.streaming.late import late_rows, start_split
 from funnelwright.streaming.native import funnel_chain_stream, interval_join_stream, rolling_bidder_stream
+from funnelwright.streaming.runs import AVAILABLE_NOW, appended, reopen_last, run_available, start_append
 from funnelwright.streaming.upsert import start_upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-AVAILABLE_NOW = {"availableNow": True}
 # Events up to here are known at the first run of a materialisation.
 SPLIT = "2024-01-02 12:00:00"
 # A late event to move all watermarks past the data, so that every window closes.
 SENTINEL_US = derived._BASE + 40 * 86400 * 1_000_000
+# Parts that arrive before each run of a stream.
+TWO_RUNS = ((0,), (1, 2))
+# Impressions that arrive late in the query on late rows.
+HELD = "%7-%"
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -60,91 +68,185 @@ def _ingested(table: str) -> Query:
     return run
 
 
+def _third(ts: Column, span: tuple[int, int]) -> Column:
+    """Which third of a time span a row falls into; rows without a time come first."""
+    lo, hi = span
+    us = F.unix_micros(ts)
+    return F.when(us >= lo + 2 * (hi - lo) // 3, 2).when(us >= lo + (hi - lo) // 3, 1).otherwise(0)
+
+
+class _Arrivals:
+    """Rows that arrive in three parts in the order of event time, each written by many tasks.
+
+    ``held`` is a rule on rows that come one part later than their time says.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, frames: Mapping[str, DataFrame], ts: Mapping[str, Column], held: str = "false"):
+        self.spark, self.root, self.schemas = spark, root, {n: df.schema for n, df in frames.items()}
+        for name, rows in frames.items():
+            rows.write.parquet(f"{root}/known/{name}")
+        first = next(iter(frames))
+        times = F.unix_micros(ts[first])
+        lo, hi = spark.read.parquet(f"{root}/known/{first}").agg(F.min(times), F.max(times)).first()
+        for name in frames:
+            rows = spark.read.parquet(f"{root}/known/{name}")
+            part = _third(ts[name], (lo or 0, hi or 0))
+            if name == first:
+                part = F.least(part + F.expr(held).cast("int"), F.lit(2))
+            rows.withColumn("arrival", part).write.partitionBy("arrival").parquet(f"{root}/parts/{name}")
+
+    def arrive(self, *parts: int) -> None:
+        for name, schema in self.schemas.items():
+            rows = self.spark.read.parquet(f"{self.root}/parts/{name}").filter(F.col("arrival").isin(*parts))
+            rows.select(*schema.fieldNames()).write.mode("append").parquet(f"{self.root}/in/{name}")
+
+    def close(self) -> None:
+        """One late event in every stream moves all watermarks past the data, so that every window closes."""
+        for name, schema in self.schemas.items():
+            columns = [
+                F.timestamp_micros(F.lit(SENTINEL_US)).alias(f.name)
+                if f.name == "event_ts"
+                else F.lit(
+                    f"sentinel-{name}" if f.name.endswith("_id") and f.dataType.simpleString() == "string" else None
+                )
+                .cast(f.dataType)
+                .alias(f.name)
+                for f in schema
+            ]
+            self.spark.range(1).select(*columns).write.mode("append").parquet(f"{self.root}/in/{name}")
+
+    def streams(self) -> dict[str, DataFrame]:
+        return {n: self.spark.readStream.schema(s).parquet(f"{self.root}/in/{n}") for n, s in self.schemas.items()}
+
+
+def _event_arrivals(spark: SparkSession, sf_dir: str, root: str, names: list[str], held: str = "false") -> _Arrivals:
+    """Nested events, of which only those named have rows."""
+    frames = {n: derived.EVENTS[n](spark, sf_dir) for n in names}
+    return _Arrivals(spark, root, frames, {n: event_time(F.col("event_timestamp")) for n in names}, held)
+
+
+def _stage_arrivals(spark: SparkSession, sf_dir: str, root: str, names: list[str]) -> _Arrivals:
+    frames = {n: derived.STAGES[n](spark, sf_dir) for n in names}
+    return _Arrivals(spark, root, frames, {n: F.col("event_ts") for n in names})
+
+
 def _upserted(table: str) -> Query:
+    """An aggregate that is restated as events arrive; a new run on the same checkpoint takes up each part."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = _folder(spark, "upsert")
-        _events(spark, sf_dir, root, list(derived.EVENTS), 2)
-        events = {
-            name: event_files(spark, name, f"{root}/in/{name}", files_per_trigger=1) for name in derived.EVENTS
-        }
-        start_upserts(events, root, f"{root}/checkpoint", [table], AVAILABLE_NOW).awaitTermination()
+        arrivals = _event_arrivals(spark, sf_dir, root, list(derived.EVENTS))
+        for parts in TWO_RUNS:
+            arrivals.arrive(*parts)
+            query = start_upserts(arrivals.streams(), root, f"{root}/checkpoint", [table], AVAILABLE_NOW)
+            query.awaitTermination()
         return spark.read.parquet(f"{root}/{table}").drop("window_hour")
 
     return run
 
 
-def _stage_streams(spark: SparkSession, sf_dir: str, root: str, names: list[str]) -> dict[str, DataFrame]:
-    """Stage rows as streams over written files, each closed by a sentinel row."""
-    out = {}
-    for name in names:
-        rows = derived.STAGES[name](spark, sf_dir)
-        path = f"{root}/in/{name}"
-        _slices(rows, path)
-        columns = [
-            F.timestamp_micros(F.lit(SENTINEL_US)).alias(f.name)
-            if f.name == "event_ts"
-            else F.lit(f"sentinel-{name}" if f.name.endswith("_id") and f.dataType.simpleString() == "string" else None)
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in rows.schema
-        ]
-        time.sleep(0.01)  # files are taken in the order of their times
-        spark.range(1).select(*columns).coalesce(1).write.mode("append").parquet(path)
-        out[name] = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    return out
-
-
-def _slices(rows: DataFrame, path: str) -> None:
-    """Files in the order of event time, one a micro-batch, so that state is carried from each to the next."""
-    cuts = [F.lit(c).cast("timestamp") for c in ("2024-01-01 18:00:00", "2024-01-02 12:00:00")]
-    part = F.when(F.col("event_ts") >= cuts[1], 2).when(F.col("event_ts") >= cuts[0], 1).otherwise(0)
-    for k in range(3):
-        rows.filter(part == k).coalesce(1).write.mode("append").parquet(path)
-        time.sleep(0.01)
-
-
-def _drain(stream: DataFrame, root: str) -> DataFrame:
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(**AVAILABLE_NOW)
-        .start()
-    )
-    query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out")
+def _appended(
+    spark: SparkSession, sf_dir: str, names: list[str], build: Callable[[dict[str, DataFrame]], DataFrame]
+) -> DataFrame:
+    """What a stream over stage rows appends, resumed on its checkpoint for each part that arrives."""
+    root = _folder(spark, "stream")
+    arrivals = _stage_arrivals(spark, sf_dir, root, names)
+    for parts in TWO_RUNS:
+        arrivals.arrive(*parts)
+        run_available(build(arrivals.streams()), root)
+    arrivals.close()
+    run_available(build(arrivals.streams()), root)
+    return appended(build(arrivals.streams()), root)
 
 
 def stream_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _folder(spark, "rolling")
-    streams = _stage_streams(spark, sf_dir, root, ["impressions"])
-    return _drain(rolling_bidder_stream(streams["impressions"]), root)
+    return _appended(spark, sf_dir, ["impressions"], lambda s: rolling_bidder_stream(s["impressions"]))
 
 
 def stream_click_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Impressions with the clicks on them within a minute, kept where there are none."""
-    root = _folder(spark, "clicks")
-    streams = _stage_streams(spark, sf_dir, root, ["impressions", "clicks"])
-    clicks = streams["clicks"].withColumnRenamed("event_ts", "click_ts")
-    shown = streams["impressions"].select("impression_id", "bidder_id", "win_price", "event_ts")
-    return _drain(interval_join_stream(shown, clicks, "impression_id", "event_ts", "click_ts", 0, 60, "left"), root).filter(
-        "impression_id NOT LIKE 'sentinel%'"
-    )
+
+    def build(streams: dict[str, DataFrame]) -> DataFrame:
+        clicks = streams["clicks"].withColumnRenamed("event_ts", "click_ts")
+        shown = streams["impressions"].select("impression_id", "bidder_id", "win_price", "event_ts")
+        return interval_join_stream(shown, clicks, "impression_id", "event_ts", "click_ts", 0, 60, "left")
+
+    return _appended(spark, sf_dir, ["impressions", "clicks"], build).filter("impression_id NOT LIKE 'sentinel%'")
 
 
 def stream_funnel_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four-stage chain, each event once."""
-    root = _folder(spark, "chain")
-    streams = _stage_streams(spark, sf_dir, root, ["requests", "responses", "impressions", "clicks"])
-    chain = funnel_chain_stream(*streams.values())
-    return (
-        _drain(chain, root)
-        .filter("request_id NOT LIKE 'sentinel%'")
-        .select("request_id", "publisher_id", "event_ts", "response_id", "impression_id", "click_id")
+    names = ["requests", "responses", "impressions", "clicks"]
+    rows = _appended(spark, sf_dir, names, lambda s: funnel_chain_stream(*s.values()))
+    return rows.filter("request_id NOT LIKE 'sentinel%'").select(
+        "request_id", "publisher_id", "event_ts", "response_id", "impression_id", "click_id"
     )
 
 
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding windows whose stream stops after the first part and loses its last commit.
+
+    It resumes from the state of the batch before, repeats the batch and goes on, and
+    the windows are those of a stream that never stopped.
+    """
+    root = _folder(spark, "restart")
+    arrivals = _stage_arrivals(spark, sf_dir, root, ["impressions"])
+    build = lambda: rolling_bidder_stream(arrivals.streams()["impressions"])
+    arrivals.arrive(0)
+    running = start_append(build(), root, {"processingTime": "0 seconds"})
+    running.processAllAvailable()
+    running.stop()
+    reopen_last(spark, f"{root}/checkpoint")
+    arrivals.arrive(1, 2)
+    run_available(build(), root)
+    arrivals.close()
+    run_available(build(), root)
+    return appended(build(), root)
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some impressions arrive a day late: what is split off, what the windows keep, what the buckets restate.
+
+    ``late``: rows behind the watermark, per minute and bidder. ``window``: sliding windows,
+    without them. ``minute``: impressions per minute as restated, with them.
+    """
+    root = _folder(spark, "late")
+    arrivals = _event_arrivals(spark, sf_dir, root, ["impressions", "clicks"], f"impression_id LIKE '{HELD}'")
+    for part in range(3):
+        arrivals.arrive(part)
+        streams = arrivals.streams()
+        shown = impression_stage(streams["impressions"])
+        start_split(shown, f"{root}/split", f"{root}/split/checkpoint", "event_ts", 30, AVAILABLE_NOW).awaitTermination()
+        run_available(rolling_bidder_stream(shown), f"{root}/windows")
+        table = "realtime_serving_metrics_1m"
+        start_upserts(streams, root, f"{root}/checkpoint", [table], AVAILABLE_NOW).awaitTermination()
+    # Windows that are still open at the end are not appended: a last event closes them.
+    last = derived.EVENTS["impressions"](spark, sf_dir).limit(1)
+    last = last.withColumns(
+        {"event_timestamp": F.lit("2024-02-10T00:00:00+00:00"), "bidder_id": F.lit(None).cast("int")}
+    )
+    last.write.mode("append").parquet(f"{root}/in/impressions")
+    windows = rolling_bidder_stream(impression_stage(arrivals.streams()["impressions"]))
+    run_available(windows, f"{root}/windows")
+
+    late = late_rows(spark, f"{root}/split", shown.schema).groupBy(minute_of(F.col("event_ts")).alias("window_start"), "bidder_id").agg(F.count("*").alias("n"))
+    kept = appended(windows, f"{root}/windows").select("window_start", "bidder_id", F.col("win_count").alias("n"))
+    restated = spark.read.parquet(f"{root}/realtime_serving_metrics_1m")
+    restated = restated.select("window_start", "bidder_id", F.col("impressions").alias("n"))
+    kinds = {"late": late, "window": kept, "minute": restated}
+    return reduce(DataFrame.unionByName, [df.withColumn("kind", F.lit(kind)) for kind, df in kinds.items()])
+
+
+def stream_funnel_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funnel summed from the deltas of three parts, state and checkpoints carried between them."""
+    root = _folder(spark, "delta")
+    arrivals = _stage_arrivals(spark, sf_dir, root, list(STAGE_OF.values()))
+    for parts in TWO_RUNS:
+        arrivals.arrive(*parts)
+        run_funnel(spark, arrivals.streams(), f"{root}/funnel")
+    return funnel_counts(spark, f"{root}/funnel")
+
+
 def _materialised(table: str, late: str | None, dims_change: bool, **options) -> Query:
     """Load a table from part of the data, then bring it up to date with the rest.
 
@@ -199,6 +301,9 @@ def stateful_queries() -> Mapping[str, Query]:
         "stream_rolling": stream_rolling,
         "stream_click_join": stream_click_join,
         "stream_funnel_chain": stream_funnel_chain,
+        "stream_restart": stream_restart,
+        "stream_late_rows": stream_late_rows,
+        "stream_funnel_delta": stream_funnel_delta,
         "stream_funnel": _upserted("hourly_funnel_by_publisher"),
         "stream_serving": _upserted("realtime_serving_metrics_1m"),
         "stream_landscape": _upserted("bid_landscape_hourly"),

@@ -104,9 +104,9 @@ def test_late_click_updates_the_hour_of_its_request(spark, tmp_path, rows_of):
     early = events | {"clicks": events["clicks"].filter("click_id LIKE '%-0'")}
     late = {n: df.filter("false") for n, df in events.items()} | {"clicks": events["clicks"].filter("click_id LIKE '%-1'")}
     table, losses = "hourly_funnel_by_publisher", "funnel_leakage_hourly"
-    upsert_batch(envelope(early), 0, root, [table, losses])
+    upsert_batch(envelope(early), 0, root, [table, losses], ttl_hours=None)
     for _ in range(2):
-        upsert_batch(envelope(late), 1, root, [table, losses])
+        upsert_batch(envelope(late), 1, root, [table, losses], ttl_hours=None)
     want = funnel.hourly_funnel(
         *[stages.STAGES[s][1](events[stages.STAGES[s][0]]) for s in ("requests", "responses", "impressions", "clicks")]
     )
