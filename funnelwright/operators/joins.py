@@ -17,12 +17,18 @@ BUCKET_FACTOR = 16
 
 # Keys with more rows than this on the right of a left join are hot.
 HOT_ROWS = 10_000_000
+# A row of an event fact takes at least so many bytes in a file, however compressed.
+LEAST_ROW_BYTES = 4
+# Sketches of a summary of frequent keys, values each tracks, keys it names at most.
+SUMMARIES, TRACKED, NAMED = 64, 4096, 1000
+# Parts a hot key is dealt over at most.
+MOST_SALTS = 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate, None where the session does not expose it."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
         return None
 
@@ -119,27 +125,59 @@ def interval_join(
     return here.join(near, condition, how).drop("_bucket", "_right_key", "_right_bucket")
 
 
-def hot_keys(right: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most one for so many rows, so a short list.
+def frequent_summary(df: DataFrame, key: str) -> DataFrame:
+    """A mergeable summary of the most frequent values of ``key``: up to ``SUMMARIES`` sketches of fixed size.
 
-    Lazy. A job that writes the side can store the list, so that joins read it
-    instead of counting again.
+    One scan, no shuffle of rows. A job that writes a table can write its summary
+    beside it, one for each batch; summaries of batches are united, not counted again.
     """
-    counts = right.filter(F.col(key).isNotNull()).groupBy(key).count()
-    return counts.filter(F.col("count") > hot_rows).select(key)
+    named_rows = df.filter(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("_key"))
+    part = F.pmod(F.spark_partition_id(), F.lit(SUMMARIES)).alias("part")
+    return named_rows.groupBy(part).agg(F.expr(f"approx_top_k_accumulate(_key, {TRACKED})").alias("summary"))
+
+
+def hot_keys(right: DataFrame, key: str, hot_rows: int | None = None, summary: DataFrame | None = None) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, and over how many ``salts`` to spread them. Lazy.
+
+    With a summary of the side only the keys it names are counted. It names every
+    key of more than about TRACKED / 4 times fewer rows than the side has. Without one, all are
+    counted. Either way at most one key for so many rows: a short list.
+    """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    rows = right.filter(F.col(key).isNotNull())
+    if summary is not None:
+        merged = summary.agg(F.expr(f"approx_top_k_combine(summary, {TRACKED})").alias("all"))
+        named_keys = merged.select(F.explode(F.expr(f"approx_top_k_estimate(all, {NAMED})")).alias("found"))
+        named_keys = named_keys.select(F.col("found.item").cast(right.schema[key].dataType).alias(key))
+        rows = rows.join(F.broadcast(named_keys), key, "left_semi")
+    counts = rows.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
+    salts = F.least(F.ceil(F.col("_rows") / hot_rows), F.lit(MOST_SALTS)).cast("int")
+    return counts.select(key, salts.alias("salts"))
+
+
+def may_be_hot(right: DataFrame, hot_rows: int | None = None) -> bool:
+    """Whether a side can hold a hot key, by Catalyst's estimate of its size; costs no job."""
+    size = estimated_bytes(right)
+    return size is None or size >= (HOT_ROWS if hot_rows is None else hot_rows) * LEAST_ROW_BYTES
 
 
 def left_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
     """Left join whose right side may hold very hot keys.
 
-    Spark can split a skewed right side only in an inner join. A key that is
-    hot on the right has matches by definition, so the rows of ``hot`` keys can
-    be joined inner, apart from the others, with the same result. Event ids are
-    near unique, so callers that know of no hot keys pass none.
+    Spark splits a skewed right side only in an inner join. The rows of ``hot`` keys
+    (``hot_keys``) are dealt over salts on the right and copied to each salt on the
+    left. A hot key has matches by definition, so the copies that find none are
+    dropped, and all other rows are joined as they are, in one pass.
     """
     if hot is None:
         return left.join(right, key, "left")
-    hot = F.broadcast(hot)
-    rest = left.join(hot, key, "left_anti").join(right.join(hot, key, "left_anti"), key, "left")
-    heavy = left.join(hot, key, "left_semi").join(right.join(hot, key, "left_semi"), key)
-    return rest.unionByName(heavy)
+    ours = F.broadcast(hot.select(F.col(key), F.col("salts").alias("_salts")))
+    theirs = F.broadcast(hot.select(F.col(key), F.col("salts").alias("_their_salts")))
+    copied = left.join(ours, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    )
+    salt = F.pmod(F.xxhash64(*right.columns), F.coalesce("_their_salts", F.lit(1))).cast("int")
+    dealt = right.join(theirs, key, "left").withColumn("_salt", salt).drop("_their_salts").withColumn("_found", F.lit(True))
+    joined = copied.join(dealt, [key, "_salt"], "left")
+    columns = [*left.columns, *[c for c in right.columns if c != key]]
+    return joined.filter(F.col("_salts").isNull() | F.col("_found")).select(*columns)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from funnelwright.functions import hour_of, ratio
 from funnelwright.operators.funnel import leakage, linked_funnel
-from funnelwright.operators.joins import dim_join, left_join, sized_broadcast
+from funnelwright.operators.joins import dim_join, frequent_summary, hot_keys, left_join, may_be_hot, sized_broadcast
 from funnelwright.operators.landscape import linked_landscape
 
 Tables = Mapping[str, DataFrame]
@@ -198,6 +198,24 @@ def enriched_clicks(tables: Tables) -> DataFrame:
     )
 
 
+# The key by which each fact follows the one before it.
+LINKS = {"bid_responses": "request_id", "impressions": "response_id", "clicks": "impression_id"}
+
+
+def _hot(tables: Tables, fact: str) -> DataFrame | None:
+    """Hot links of a fact: none if it is too small to have any.
+
+    Read from the summary ``frequent_<fact>`` where the tables have one, as a job that
+    writes facts can store it, else from one made of the fact's key column.
+    """
+    rows, key = tables[fact], LINKS[fact]
+    if not may_be_hot(rows):
+        return None
+    name = f"frequent_{fact}"
+    summary = tables[name] if name in tables else frequent_summary(rows, key)
+    return hot_keys(rows, key, summary=summary)
+
+
 def full_funnel(tables: Tables) -> DataFrame:
     """Row-level chain of all four stages with all attributes.
 
@@ -253,9 +271,9 @@ def full_funnel(tables: Tables) -> DataFrame:
     clicks = tables["clicks"].select(
         "impression_id", "click_id", "click_url", F.col("event_timestamp").alias("click_timestamp")
     )
-    shown = left_join(impressions, clicks, "impression_id")
-    bids = left_join(responses, shown, "response_id")
-    chain = left_join(requests, bids, "request_id")
+    shown = left_join(impressions, clicks, "impression_id", _hot(tables, "clicks"))
+    bids = left_join(responses, shown, "response_id", _hot(tables, "impressions"))
+    chain = left_join(requests, bids, "request_id", _hot(tables, "bid_responses"))
     rows = _bid_dims(_request_dims(chain, tables), tables)
     return rows.select(
         "request_id",

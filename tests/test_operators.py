@@ -1,11 +1,14 @@
 import random
 import re
+from collections import Counter
+from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from funnelwright.model import DIMENSION_KEYS
-from funnelwright.operators import funnel, landscape, quality, serving
-from funnelwright.operators.joins import hot_keys, interval_join, left_join
+from funnelwright.operators import dims, funnel, joins, landscape, quality, serving
+from funnelwright.operators.joins import frequent_summary, hot_keys, interval_join, left_join
 from funnelwright.plans.views import VIEWS
 from funnelwright.sources import derived
 
@@ -113,14 +116,57 @@ def test_funnel_scans_each_input_once(spark, tmp_path):
     assert plan.count("ReusedExchange") == 3
 
 
-def test_left_join_apart_for_hot_keys(spark, rows_of):
+def test_left_join_spreads_hot_keys(spark, rows_of):
     left = spark.createDataFrame([(None, 0), ("hot", 1), ("hot", 2), ("cold", 3), ("lone", 4)], "k string, l int")
-    right = spark.createDataFrame([("hot", i) for i in range(20)] + [("cold", 99), (None, 7)], "k string, r int")
+    rows = [("hot", i) for i in range(20)] + [("hot", 5)] * 7 + [("cold", 99), (None, 7)]
+    right = spark.createDataFrame(rows, "k string, r int").repartition(5)
     want = left.join(right, "k", "left")
-    got = left_join(left, right, "k", hot_keys(right, "k", 5))
-    assert rows_of(got) == rows_of(want.select(*got.columns))
-    assert rows_of(left_join(left, right, "k", hot_keys(right, "k", 50))) == rows_of(want)
+    for hot in (hot_keys(right, "k", 5), hot_keys(right, "k", 5, frequent_summary(right, "k")), hot_keys(right, "k", 50)):
+        assert rows_of(left_join(left, right, "k", hot)) == rows_of(want)
     assert rows_of(left_join(left, right, "k")) == rows_of(want)
+    assert [tuple(r) for r in hot_keys(right, "k", 5).collect()] == [("hot", 6)]
+    # summaries of two batches are united
+    both = frequent_summary(right, "k").unionByName(frequent_summary(right.limit(0), "k"))
+    assert [tuple(r) for r in hot_keys(right, "k", 10, both).collect()] == [("hot", 3)]
+
+
+def test_full_funnel_spreads_a_hot_impression(spark, monkeypatch, rows_of):
+    tables = {n: build(spark, SF) for n, build in derived.FACTS.items()}
+    tables |= {n: derived.dimension(spark, SF, n) for n in DIMENSION_KEYS}
+    tables["clicks"] = tables["clicks"].cache()
+    one = tables["clicks"].first()
+    again = tables["clicks"].filter(F.col("click_id") == one.click_id).drop("click_id")
+    again = again.crossJoin(spark.range(300).select(F.concat(F.lit("more"), "id").alias("click_id")))
+    tables["clicks"] = tables["clicks"].unionByName(again)
+    plain = rows_of(VIEWS["v_event_enriched_full_funnel"](tables))
+    monkeypatch.setattr(joins, "HOT_ROWS", 100)
+    spread = VIEWS["v_event_enriched_full_funnel"](tables)
+    assert rows_of(spread) == plain
+    assert "_salt" in spread._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in hot_keys(tables["clicks"], "impression_id").collect()] == [(one.impression_id, 4)]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_as_of_join(spark, monkeypatch, small):
+    """A thousand versions of one key, copies of a start, gaps, and facts at every border."""
+    monkeypatch.setattr(dims, "BROADCAST_BYTES", 10**30 if small else -1)
+    t0, hour = datetime(2024, 1, 1), timedelta(hours=1)
+    versions = [(1, t0 + 2 * k * hour, t0 + (2 * k + 2) * hour if k % 5 else t0 + (2 * k + 1) * hour, f"v{k}") for k in range(1000)]
+    versions += [(2, t0, None, "open"), (3, t0, None, "old"), (3, t0 + hour, None, "new"), (3, t0 + hour, t0 + 2 * hour, "short")]
+    versions += [(4, None, None, "never"), (None, t0, None, "nobody")]
+    schema = "k int, valid_from timestamp, valid_to timestamp, name string"
+    facts = [(i, 1, t0 + timedelta(minutes=30 * i - 90)) for i in range(4010)]
+    facts += [(5000 + i, k, t0 + i * hour) for k in (2, 3, 4, 5, None) for i in (-1, 0, 1, 2, 50)] + [(6000, 2, None)]
+    df = spark.createDataFrame(facts, "id int, k int, ts timestamp")
+    got = dims.as_of_join(df, spark.createDataFrame(versions, schema), "k", "ts", {"shown": "name"})
+    want = []
+    for i, k, ts in facts:
+        begun = [v for v in versions if None not in (k, ts, v[0], v[1]) and v[0] == k and v[1] <= ts]
+        last = max(begun, key=lambda v: (v[1], v[2] or datetime(9999, 1, 1)), default=None)
+        want.append((i, k, ts, last[3] if last and (last[2] is None or ts < last[2]) else None))
+    assert Counter(map(tuple, got.collect())) == Counter(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("Window" in plan) != small and "NestedLoop" not in plan
 
 
 def test_wide_request_row_is_shuffled_once(spark, tmp_path):
