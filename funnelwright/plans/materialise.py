@@ -2,8 +2,10 @@
 
 A run finds the rows a change can affect by one predicate. The same predicate
 drops rows from the table and picks rows from the view, so no row is lost or
-doubled. The partitions it touches are first staged in full, then published;
-an interrupted run publishes its stage again before it goes on.
+doubled. A manifest pins the dimensions and batches that a run goes by. The
+partitions it touches are first staged in full, then published, and the manifest
+last; after an interrupted run the next one publishes its stage and its manifest
+before it goes on.
 """
 
 from __future__ import annotations
@@ -137,11 +139,7 @@ def read_marks(spark: SparkSession, root: str, table: str) -> dict[str, int]:
 
 
 def last_batches(tables: Tables) -> dict[str, int]:
-    """The last batch that each fact holds, where the landing keeps track of them.
-
-    Read before a run looks at the facts, so that a batch landing meanwhile is
-    taken again by the next run rather than missed.
-    """
+    """The last batch that each fact holds, where the landing keeps track of them."""
     tracked = [name for name in FACTS if name in tables and BATCH in tables[name].columns]
     found = {name: tables[name].agg(F.max(F.col(BATCH).cast("bigint"))).first()[0] for name in tracked}
     return {name: -1 if at is None else at for name, at in found.items()}
@@ -171,9 +169,38 @@ def _snapshot(root: str, spec: Spec, dim: str) -> str:
     return f"{root}/_dims/{spec.table}/{dim}"
 
 
-def write_snapshots(spec: Spec, tables: Tables, root: str) -> None:
+def _manifest(root: str, spec: Spec) -> str:
+    return f"{root}/_staging/{spec.table}_run"
+
+
+def open_run(spark: SparkSession, spec: Spec, tables: Tables, root: str) -> dict[str, DataFrame]:
+    """Pin what a run reads before it reads it: the dimensions, staged, and the last batch of each fact.
+
+    Returns the tables with the staged dimensions in place, so that the changes
+    found, the rows shown and the snapshots kept are of one state, whatever is loaded
+    meanwhile. A batch that lands meanwhile is taken again by the next run.
+    """
+    manifest = _manifest(root, spec)
+    delete_path(spark, manifest)
+    marks = last_batches(tables)
+    pinned = dict(tables)
     for dim, _ in spec.dims:
-        create_table(_shown(tables[dim]), _snapshot(root, spec, dim))
+        rows = pinned[dim]
+        create_table(rows, f"{manifest}/{dim}")
+        pinned[dim] = spark.read.schema(rows.schema).parquet(f"{manifest}/{dim}")
+    create_table(spark.createDataFrame(list(marks.items()), "fact string, batch bigint"), f"{manifest}/marks")
+    return pinned
+
+
+def close_run(spark: SparkSession, spec: Spec, root: str) -> None:
+    """After the rows are published: keep what the run showed and saw, as it was pinned."""
+    manifest = _manifest(root, spec)
+    if not path_exists(spark, f"{manifest}/marks/_SUCCESS"):
+        return
+    for dim, _ in spec.dims:
+        create_table(_shown(spark.read.parquet(f"{manifest}/{dim}")), _snapshot(root, spec, dim))
+    write_marks(spark, root, spec.table, {r.fact: r.batch for r in spark.read.parquet(f"{manifest}/marks").collect()})
+    delete_path(spark, manifest)
 
 
 def changed_dimensions(spark: SparkSession, spec: Spec, tables: Tables, root: str) -> dict[str, DataFrame]:
@@ -195,12 +222,11 @@ def changed_dimensions(spark: SparkSession, spec: Spec, tables: Tables, root: st
 def full_load(spark: SparkSession, spec: Spec, tables: Tables, root: str) -> None:
     """Build the table from its view."""
     path = f"{root}/{spec.table}"
-    marks = last_batches(tables)
-    create_table(_dated(VIEWS[spec.view](tables), spec.ts), path, ["event_date"])
+    pinned = open_run(spark, spec, tables, root)
+    create_table(_dated(VIEWS[spec.view](pinned), spec.ts), path, ["event_date"])
     end = spark.read.parquet(path).agg(F.max(spec.ts)).first()[0]
     if end is not None:
-        write_snapshots(spec, tables, root)
-        write_marks(spark, root, spec.table, marks)
+        close_run(spark, spec, root)
         write_watermark(spark, root, spec.table, end)
 
 
@@ -312,9 +338,11 @@ def materialise(
         return
     if path_exists(spark, f"{stage}/_SUCCESS"):
         replace_partitions(spark.read.parquet(stage), path, ["event_date"])
+        close_run(spark, spec, root)  # of the run that staged it
+        delete_path(spark, stage)
 
+    tables = open_run(spark, spec, tables, root)
     stored = spark.read.parquet(path)
-    marks = last_batches(tables)
     if arrived is None:
         arrived = arrivals(tables, read_marks(spark, root, spec.table))
     arrived = {name: rows for name, rows in arrived.items() if not rows.isEmpty()}
@@ -385,7 +413,6 @@ def materialise(
         end = fresh.agg(F.max(spec.ts)).first()[0]
         if end is not None:
             write_watermark(spark, root, spec.table, max(end, watermark))
-    write_snapshots(spec, tables, root)
-    write_marks(spark, root, spec.table, marks)
+    close_run(spark, spec, root)
     for folder in (stage, fresh_path, keys_root):
         delete_path(spark, folder)

@@ -1,5 +1,7 @@
+from collections.abc import Mapping
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from funnelwright.operators import dims, funnel, stages
@@ -141,3 +143,74 @@ def test_interrupted_materialisation_recovers(spark, tmp_path, rows_of):
     got = spark.read.parquet(path).drop("event_date")
     assert rows_of(got) == rows_of(VIEWS[spec.view](everything).select(*got.columns))
     assert read_watermark(spark, root, spec.table) > first
+
+
+class Live(Mapping):
+    """Tables that are read anew on each access, as those of a running system."""
+
+    def __init__(self, tables):
+        self.now = dict(tables)
+
+    def __getitem__(self, name):
+        return self.now[name]
+
+    def __iter__(self):
+        return iter(self.now)
+
+    def __len__(self):
+        return len(self.now)
+
+
+def live_impressions(spark, root):
+    derived.impression_facts(spark, SF).write.parquet(f"{root}/impressions")
+    tables = {d: derived.dimension(spark, SF, d) for d in ("dim_bidder", "dim_creative")}
+    return Live(tables | {"impressions": spark.read.parquet(f"{root}/impressions")})
+
+
+def names_shown(spark, root):
+    return {r[0][:3] for r in spark.read.parquet(f"{root}/mat_impressions").select("bidder_name").distinct().collect() if r[0]}
+
+
+def renamed(dim, prefix):
+    return dim.withColumn("bidder_name", F.concat(F.lit(prefix), F.col("bidder_id").cast("string")))
+
+
+def test_dimension_replaced_during_a_run_is_repaired_by_the_next(spark, tmp_path, monkeypatch, rows_of):
+    root, spec = str(tmp_path), SPECS["mat_impressions"]
+    tables, view = live_impressions(spark, root), VIEWS[SPECS["mat_impressions"].view]
+    old, new = renamed(tables["dim_bidder"], "old"), renamed(tables["dim_bidder"], "new")
+
+    def overtaken(seen):
+        rows = view(seen)
+        tables.now["dim_bidder"] = new
+        return rows
+
+    for start in (old, renamed(tables["dim_bidder"], "mid")):
+        tables.now["dim_bidder"] = start
+        with monkeypatch.context() as m:
+            m.setitem(VIEWS, spec.view, overtaken)
+            materialise(spark, spec, tables, root)
+        materialise(spark, spec, tables, root)
+        assert names_shown(spark, root) == {"new"}
+    got = spark.read.parquet(f"{root}/{spec.table}").drop("event_date")
+    assert rows_of(got) == rows_of(view(tables).select(*got.columns))
+
+
+def test_manifest_of_an_interrupted_run_is_published_with_its_stage(spark, tmp_path, monkeypatch):
+    """A name changes and changes back, and the run in between stops after it staged its rows."""
+    root, spec = str(tmp_path), SPECS["mat_impressions"]
+    tables = live_impressions(spark, root)
+    first = tables.now["dim_bidder"] = renamed(tables["dim_bidder"], "one")
+    materialise(spark, spec, tables, root)
+    tables.now["dim_bidder"] = renamed(first, "two")
+
+    def stopped(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr("funnelwright.plans.materialise.replace_partitions", stopped)
+        with pytest.raises(RuntimeError):
+            materialise(spark, spec, tables, root)
+    tables.now["dim_bidder"] = first
+    materialise(spark, spec, tables, root)
+    assert names_shown(spark, root) == {"one"}
