@@ -61,6 +61,11 @@ def discard(step: DataFrame) -> None:
     delete_path(step.sparkSession, step.stored_path)
 
 
+def quoted(name: str) -> str:
+    """A column's name as an expression, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def bound(value: Column, body) -> Column:
     """``body(value)`` with the value computed once, however often the body uses it."""
     return F.transform(F.array(value), body)[0]

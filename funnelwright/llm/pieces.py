@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelwright.llm.common import documents, workers_import
+from funnelwright.llm.common import documents, quoted, workers_import
 from funnelwright.llm.shingles import chunks
 
 MODEL = "piece_bpe_32k.model"
@@ -171,8 +171,8 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
                 columns = [part.column(part.schema.get_field_index(c)) for c in kept]
                 yield pa.RecordBatch.from_arrays([*columns, ids], [*kept, "ids"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept)
-    return docs.select(*kept).mapInArrow(apply, f"{fields}, ids array<int>")
+    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema if f.name in kept)
+    return docs.select(*map(quoted, kept)).mapInArrow(apply, f"{fields}, ids array<int>")
 
 
 def decode(coded: DataFrame, model: str | None = None) -> DataFrame:
@@ -189,8 +189,8 @@ def decode(coded: DataFrame, model: str | None = None) -> DataFrame:
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, texts], [*kept, "decoded"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema if f.name in kept)
-    return coded.select(*kept).mapInArrow(apply, f"{fields}, decoded string")
+    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in coded.schema if f.name in kept)
+    return coded.select(*map(quoted, kept)).mapInArrow(apply, f"{fields}, decoded string")
 
 
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,20 +11,24 @@ logistic curve over their sums the score of a document.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelwright.llm import sketch
-from funnelwright.llm.common import documents, labels, workers_import
+from funnelwright.llm.common import documents, labels, quoted, workers_import
 from funnelwright.llm.shingles import chunks, runs, shingle_sets
 
 #: Labelled documents that the model is fitted on, at most; chosen by a hash of their ids.
 SAMPLE = 2000
+#: Bytes of their texts, at most.
+SAMPLE_BYTES = 16 * 1024 * 1024
 THRESHOLD = 0.3
 #: Bytes of a word's beginnings that are features, besides the word itself.
 PREFIXES = (3, 4, 5, 6, 8)
@@ -310,29 +314,54 @@ def _curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def held_out(doc_id: str) -> Column:
-    return F.crc32(F.col(doc_id).cast("string")) % 4 == 2
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` labelled rows whose id is not held out.
+def labelled_sample(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """doc_id, toxic and text of at most ``sample`` labelled rows whose id is not held out, in one partition.
 
-    The rows are the first by a hash of their ids, whole texts; of texts that
-    share an id, the first by a hash of the text. A row labelled
-    twice is toxic if one label says so; null labels and ids do not count.
+    The rows are the first by a hash of their ids, whole texts, in this order; of
+    texts that share an id, the first by a hash of the text. A row labelled twice is
+    toxic if one label says so; null labels and ids do not count.
     """
+    order = F.xxhash64("doc_id")
     chosen = (
         marks.filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
         .filter(~held_out("doc_id"))
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .orderBy(order, "doc_id")
         .limit(sample)
     )
     one = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(
         F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
     )
-    rows = one.select("doc_id", "first.text", "toxic").orderBy("doc_id").toPandas()
-    return fit([t or "" for t in rows["text"]], [int(t) for t in rows["toxic"]])
+    return one.select("doc_id", "toxic", "first.text").repartition(1).sortWithinPartitions(order, "doc_id")
+
+
+def within(batches: Iterator[pa.RecordBatch], most: int) -> tuple[list[str], list[int]]:
+    """Texts and labels in the order of ids, of at most so many bytes; a text that would exceed them is passed over."""
+    rows, held = [], 0
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(2)).fill_null(0).to_pylist()
+        for k, size in enumerate(sizes):
+            if held + size <= most:
+                rows.append(tuple(batch.column(c)[k].as_py() for c in range(3)))
+                held += size
+    rows.sort(key=lambda r: r[0])
+    return [r[2] or "" for r in rows], [int(r[1]) for r in rows]
+
+
+def train(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """Fit on ``labelled_sample``, in a task that reads it batch by batch; only the model comes to the driver."""
+    workers_import(docs.sparkSession)
+
+    def fit_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pickle.dumps(fit(*within(batches, sample_bytes)))
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
+
+    found = labelled_sample(docs, marks, sample).mapInArrow(fit_sample, "model binary").first()
+    return pickle.loads(found[0]) if found else fit([], [])
 
 
 def tag(docs: DataFrame, model: Model) -> DataFrame:
@@ -360,9 +389,9 @@ def tag(docs: DataFrame, model: Model) -> DataFrame:
                 columns += [pa.array(model.scores(p, bounds), pa.float64()), pa.array(spans, _SPANS)]
                 yield pa.RecordBatch.from_arrays(columns, [*kept, "score", "spans"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept)
+    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema if f.name in kept)
     spans = "spans array<struct<start: bigint, end: bigint, probability: double>>"
-    return docs.select(*kept).mapInArrow(apply, f"{fields}, score double, {spans}")
+    return docs.select(*map(quoted, kept)).mapInArrow(apply, f"{fields}, score double, {spans}")
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())]))
@@ -404,4 +433,4 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage of the pipeline: documents that score at or over the threshold go."""
     scored = tag(docs, train(docs, labels(spark, sf_dir)))
-    return scored.filter(F.col("score") < THRESHOLD).select(*docs.columns)
+    return scored.filter(F.col("score") < THRESHOLD).select(*map(quoted, docs.columns))

@@ -268,19 +268,40 @@ def test_toxicity_finds_spans_held_out(spark):
 
 
 def test_training_takes_one_text_of_an_id(spark, monkeypatch):
-    from pyspark.sql.classic.dataframe import DataFrame
-
     monkeypatch.setattr(toxicity, "held_out", lambda doc_id: toxicity.F.lit(False))
-    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic: (texts, toxic))
-    collected, to_pandas = [], DataFrame.toPandas
-    monkeypatch.setattr(DataFrame, "toPandas", lambda df: collected.append(to_pandas(df)) or collected[-1])
     texts = [f"text {i}" for i in range(50)] + ["other"]
     ids = [7] * 50 + [8]
-    marks = spark.createDataFrame([(7, 1), (8, 0)], "doc_id bigint, toxic int")
-    ahead = toxicity.train(docs_of(spark, texts, ids), marks)
-    back = toxicity.train(docs_of(spark, texts[::-1], ids[::-1]).repartition(3), marks)
-    assert ahead == back and ahead[1] == [1, 0] and ahead[0][1] == "other"
-    assert [len(rows) for rows in collected] == [2, 2]
+    marks = spark.createDataFrame([(7, 1), (8, 0), (None, 1), (9, None)], "doc_id bigint, toxic int")
+    ahead = toxicity.labelled_sample(docs_of(spark, texts, ids), marks).collect()
+    back = toxicity.labelled_sample(docs_of(spark, texts[::-1], ids[::-1]).repartition(3), marks).collect()
+    assert ahead == back and sorted((r.doc_id, r.toxic) for r in ahead) == [(7, 1), (8, 0)]
+    assert {r.text for r in ahead} & {"other"}
+    none = toxicity.train(docs_of(spark, texts, ids), marks.limit(0))
+    assert len(none.keys) == 0
+
+
+def test_training_is_bounded_in_bytes():
+    texts = ["aa", None, "ü" * 4, "b" * 50, "", "c" * 3]
+    batch = pa.record_batch([pa.array([5, 4, 3, 2, 1, 0]), pa.array([1, 0, 1, 1, 0, 0]), pa.array(texts)], ["d", "t", "x"])
+    assert toxicity.within(iter([batch, batch.slice(0, 0)]), 13) == (["ccc", "", "ü" * 4, "", "aa"], [0, 0, 1, 0, 1])
+
+
+def test_columns_with_any_name_pass_through(spark):
+    docs = docs_of(spark, ["a b", None]).selectExpr("*", "1 AS `a.b`", "2 AS `c``d`")
+    tagged = toxicity.tag(docs, toxicity.fit([], []))
+    assert set(docs.columns) - {"score"} <= set(tagged.columns) and tagged.count() == 2
+    assert "a.b" in pieces.encode(docs).columns and pieces.encode(docs).count() == 2
+
+
+def test_words_are_remembered_in_halves(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 64)
+    fresh, coder = packing.WordIds(packing.default_tokenizer()), packing.WordIds(packing.default_tokenizer())
+    rng = random.Random(2)
+    for _ in range(60):
+        text = " ".join(f"w{rng.randint(0, 400)}" for _ in range(40)) + " the and of"
+        want = np.array(fresh.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert coder.encode(text) == want
+        assert len(coder.ids) + len(coder.older) <= 3 * 64
 
 
 def test_encoding_is_the_best_segmentation_and_decodes():
