@@ -5,8 +5,8 @@ histogram. A configuration is a multiset of lengths that fits one sequence. The
 linear program over all configurations is solved by multiplicative weights: each
 length has a weight, the most valuable configuration under the weights is found
 by knapsack dynamic programming, and the weights of the lengths it serves fall.
-The solution is rounded down, what is left is filled best fit over the
-histogram, and every piece gets its place by its rank within its length.
+The solution is rounded to whole uses as far as lengths last, what is left is filled
+best fit over the histogram, and every piece gets its place by its rank within its length.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from funnelwright.llm.common import documents, stored, workers_import
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 150_000
+#: Words whose ids a Python worker remembers, in two halves.
+REMEMBERED = 300_000
 #: Rounds of the multiplicative weights.
 ROUNDS = 400
 #: Lengths served in a round, the part of a demand served at once, and how fast weights fall.
@@ -61,16 +61,20 @@ class WordIds:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.ends[ends] = True
         self.ids: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, words: list[str]) -> None:
         for word, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
             self.ids[word] = np.array(e.ids, dtype="<u4").tobytes()
 
     def _learn(self, words: set[str]) -> None:
+        """Words used since the last half was full stay; those that were not are forgotten with it."""
         new = [w for w in words if w not in self.ids]
-        if len(self.ids) + len(new) > REMEMBERED:
-            self.ids.clear()
+        if len(self.ids) + len(new) > REMEMBERED // 2:
+            self.older, self.ids = self.ids, {}
             new = list(words)
+        self.ids.update((w, self.older[w]) for w in new if w in self.older)
+        new = [w for w in new if w not in self.ids]
         runs = [w for w in new if w.isalpha()]
         for start in range(0, len(runs), 2000):
             part = runs[start : start + 2000]
@@ -96,8 +100,8 @@ class WordIds:
             return b"".join(map(self.ids.__getitem__, words))
         except KeyError:
             out = []
-            for start in range(0, len(words), REMEMBERED // 8):
-                part = words[start : start + REMEMBERED // 8]
+            for start in range(0, len(words), REMEMBERED // 16):
+                part = words[start : start + REMEMBERED // 16]
                 self._learn(set(part))
                 out += map(self.ids.__getitem__, part)
             return b"".join(out)
@@ -211,8 +215,8 @@ def configuration_program(lengths: np.ndarray, counts: np.ndarray, capacity: int
 def pack_histogram(lengths: np.ndarray, counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
     """Contents (length to how many) and number of sequences of each kind.
 
-    Configurations are used as often as their rounded-down share and what is left
-    of their lengths allow; the rest is placed best fit, longest first, into
+    Configurations are used as often as their rounded share and what is left of
+    their lengths allow; the rest is placed best fit, longest first, into
     room that configurations leave and into new sequences.
     """
     order = np.argsort(lengths)
