@@ -66,6 +66,12 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def for_workers(df: DataFrame, kept: list[str]) -> DataFrame:
+    """These columns under names that Spark can hand to workers: one with a dot or a backtick is numbered."""
+    plain = [f"_column_{i}" if "." in c or "`" in c else c for i, c in enumerate(kept)]
+    return df.select(*[F.col(quoted(c)).alias(p) for c, p in zip(kept, plain, strict=True)])
+
+
 def bound(value: Column, body) -> Column:
     """``body(value)`` with the value computed once, however often the body uses it."""
     return F.transform(F.array(value), body)[0]

@@ -14,6 +14,7 @@ near copies costs little more than its size.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelwright.llm.common import discard, documents, stored, workers_import
+from funnelwright.llm.common import discard, documents, quoted, stored, workers_import
 from funnelwright.llm.shingles import _bytes, chunks, mix, words
 
 PERCENT = 80
@@ -56,16 +57,18 @@ _AT = np.uint64(TOKEN_BITS)
 
 
 def _line_sets(texts: pa.Array, rank: np.ndarray | None = None):
-    """Distinct tokens of each line that has words: text, line number, bounds, tokens (sorted in a line).
+    """Distinct words of each line that has any: text, line number, bounds, tokens (sorted in a line), hashes.
 
-    ``rank`` renames the upper bits of tokens, one for one, to the rarity of
-    their slot, so that the order is by rarity.
+    A token is the upper bits of a word's 64-bit hash and only says where lines
+    meet; words are told apart, counted and compared by the hash. ``rank`` renames
+    the upper bits of tokens, one for one, to the rarity of their slot, so that the
+    order is by rarity.
     """
     data, offsets = _bytes(texts)
     hashes, starts, _, bounds = words(texts)
     if not len(hashes):
         none = np.zeros(0, np.int64)
-        return none, none, np.zeros(1, np.int64), np.zeros(0, np.uint64)
+        return none, none, np.zeros(1, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     breaks = np.flatnonzero(data == 10)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
     place = np.searchsorted(breaks, starts) + doc
@@ -75,24 +78,27 @@ def _line_sets(texts: pa.Array, rank: np.ndarray | None = None):
     tokens = hashes >> np.uint64(64 - TOKEN_BITS)
     if rank is not None:
         tokens = (rank[(tokens >> _LOW_BITS).astype(np.int64)].astype(np.uint64) << _LOW_BITS) | (tokens & _LOW)
+    order = None
     if len(first) < 1 << (64 - TOKEN_BITS):
-        key = np.sort((line.astype(np.uint64) << _AT) | tokens)
-        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
-        line, tokens = (key >> _AT).astype(np.int64), key & _TOKEN
-    else:  # one text of a million lines and more
-        order = np.lexsort((tokens, line))
-        line, tokens = line[order], tokens[order]
-        kept = np.concatenate([[True], (line[1:] != line[:-1]) | (tokens[1:] != tokens[:-1])])
-        line, tokens = line[kept], tokens[kept]
+        key = (line.astype(np.uint64) << _AT) | tokens
+        order = np.argsort(key)
+        key, sorted_hashes = key[order], hashes[order]
+        if ((key[1:] == key[:-1]) & (sorted_hashes[1:] != sorted_hashes[:-1])).any():
+            order = None  # two words of one token in a line
+    if order is None:
+        order = np.lexsort((hashes, tokens, line))
+    line, tokens, hashes = line[order], tokens[order], hashes[order]
+    kept = np.concatenate([[True], (line[1:] != line[:-1]) | (hashes[1:] != hashes[:-1])])
+    line, tokens, hashes = line[kept], tokens[kept], hashes[kept]
     base = np.searchsorted(breaks, offsets[:-1]) + np.arange(len(offsets) - 1)
     cuts = np.searchsorted(line, np.arange(len(first) + 1))
-    return doc[first], place[first] - base[doc[first]], cuts, tokens
+    return doc[first], place[first] - base[doc[first]], cuts, tokens, hashes
 
 
-def _digest(bounds: np.ndarray, tokens: np.ndarray, salt: int = 0) -> np.ndarray:
+def _digest(bounds: np.ndarray, hashes: np.ndarray, salt: int = 0) -> np.ndarray:
     if len(bounds) < 2:
         return np.zeros(0, np.int64)
-    return np.add.reduceat(mix(tokens ^ np.uint64(salt)), bounds[:-1]).view(np.int64)
+    return np.add.reduceat(mix(hashes ^ np.uint64(salt)), bounds[:-1]).view(np.int64)
 
 
 _LINE_FIELDS = "kind int, doc bigint, twin bigint, line int, s1 bigint, s2 bigint, m int, counts binary"
@@ -105,7 +111,7 @@ def _line_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, twins = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         for lo, hi in chunks(batch.column(2)):
-            doc, number, bounds, tokens = _line_sets(batch.column(2)[lo:hi])
+            doc, number, bounds, tokens, hashes = _line_sets(batch.column(2)[lo:hi])
             slots += np.bincount((tokens >> _LOW_BITS).astype(np.int64), minlength=SLOTS)
             size = np.diff(bounds)
             kept = size >= LEAST_WORDS
@@ -115,8 +121,8 @@ def _line_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(ids[lo:hi][doc]),
                 pa.array(twins[lo:hi][doc]),
                 pa.array(number[kept].astype(np.int32)),
-                pa.array(_digest(bounds, tokens)[kept]),
-                pa.array(_digest(bounds, tokens, 0xD6E8FEB86659FD93)[kept]),
+                pa.array(_digest(bounds, hashes)[kept]),
+                pa.array(_digest(bounds, hashes, 0xD6E8FEB86659FD93)[kept]),
                 pa.array(size[kept].astype(np.int32)),
                 pa.nulls(len(doc), pa.binary()),
             ]
@@ -174,11 +180,11 @@ def _postings(rank: np.ndarray, long_slots: np.ndarray, percent: int):
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for lo, hi in chunks(batch.column(2)):
-                doc, number, bounds, tokens = _line_sets(batch.column(2)[lo:hi], rank)
+                doc, number, bounds, tokens, hashes = _line_sets(batch.column(2)[lo:hi], rank)
                 if not len(tokens):
                     continue
                 plain = (slot_of[(tokens >> _LOW_BITS).astype(np.int64)] << _LOW_BITS) | (tokens & _LOW)
-                s1 = _digest(bounds, plain)
+                s1 = _digest(bounds, hashes)
                 size = np.diff(bounds)
                 wanted = may_match_others(size, percent)
                 if len(seen) > REMEMBERED:
@@ -361,19 +367,19 @@ def _rest(lists: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
 
 
 def _word_sets(docs: DataFrame, involved: DataFrame) -> DataFrame:
-    """s1 and the sorted word hashes of the first line of each class that takes part in a pair."""
+    """s1 and the 64-bit word hashes of the first line of each class that takes part in a pair."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column(1).to_pylist()
             for lo, hi in chunks(batch.column(0)):
-                doc, number, bounds, tokens = _line_sets(batch.column(0)[lo:hi])
+                doc, number, bounds, _, hashes = _line_sets(batch.column(0)[lo:hi])
                 at = {(int(d), int(k)): i for i, (d, k) in enumerate(zip(doc, number, strict=True))}
                 rows = []
                 for d in range(lo, hi):
                     for need in wanted[d]:
                         i = at[d - lo, need["line"]]
-                        rows.append((need["s1"], tokens[bounds[i] : bounds[i + 1]].view(np.int64)))
+                        rows.append((need["s1"], hashes[bounds[i] : bounds[i + 1]].view(np.int64)))
                 if rows:
                     s1, sets = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays(
@@ -482,25 +488,25 @@ def without_repeats(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Documents with such lines taken out of the text, and ``n_removed``.
 
     A null text stays null. A document may end up empty, but stays. A column
-    named ``n_removed`` is replaced.
+    named ``n_removed`` is replaced; all others stay, whatever their names.
     """
-    gone = repeated_lines(docs, percent).withColumnsRenamed({"doc": "_doc", "twin": "_twin", "gone": "_gone"})
-    keyed = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LATEST))).withColumn(
-        "_twin", F.xxhash64("text")
+    kept_columns = [c for c in docs.columns if c != "n_removed"]
+    key = {c: f"_{c}_{uuid.uuid4().hex}" for c in ("doc", "twin", "gone")}
+    gone = stored(repeated_lines(docs, percent).withColumnsRenamed(key), "gone")
+    keyed = docs.select(
+        *map(quoted, kept_columns),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LATEST)).alias(key["doc"]),
+        F.xxhash64("text").alias(key["twin"]),
     )
-    gone = stored(gone, "gone")
-    size = gone.agg(F.count("*").alias("docs"), F.sum(F.size("_gone")).alias("lines")).first()
+    numbers = F.col(key["gone"])
+    size = gone.agg(F.count("*").alias("docs"), F.sum(F.size(numbers)).alias("lines")).first()
     if size.docs <= BROADCAST_DOCS and (size.lines or 0) <= BROADCAST_LINES:
         gone = F.broadcast(gone)
-    joined = keyed.join(gone, ["_doc", "_twin"], "left")
-    lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda line, i: ~F.array_contains("_gone", i))
-    return (
-        joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-        .withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-        .withColumn("n_removed", F.greatest("n_removed", F.lit(0)))
-        .drop("_doc", "_twin", "_gone")
-    )
+    joined = keyed.join(gone, [key["doc"], key["twin"]], "left")
+    kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(numbers, i))
+    text = F.when(numbers.isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")
+    n_removed = F.greatest(F.coalesce(F.size(numbers), F.lit(0)), F.lit(0)).cast("long").alias("n_removed")
+    return joined.select(*[text if c == "text" else F.col(quoted(c)) for c in kept_columns], n_removed)
 
 
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -514,4 +520,4 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     and goes; documents that lost no line stay, empty ones too.
     """
     done = without_repeats(docs).filter((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return done.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    return done.withColumn("n_chars", F.char_length("text").cast("long")).select(*map(quoted, docs.columns))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelwright.llm.common import documents, quoted, workers_import
+from funnelwright.llm.common import documents, for_workers, quoted, workers_import
 from funnelwright.llm.shingles import chunks
 
 MODEL = "piece_bpe_32k.model"
@@ -155,7 +155,9 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
     """
     path = model or default_model()
     workers_import(docs.sparkSession)
-    kept = [c for c in docs.columns if c != "ids"]
+    names = [c for c in docs.columns if c != "ids"]
+    docs = for_workers(docs, names)
+    kept = docs.columns
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path)
@@ -171,15 +173,17 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
                 columns = [part.column(part.schema.get_field_index(c)) for c in kept]
                 yield pa.RecordBatch.from_arrays([*columns, ids], [*kept, "ids"])
 
-    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema if f.name in kept)
-    return docs.select(*map(quoted, kept)).mapInArrow(apply, f"{fields}, ids array<int>")
+    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(apply, f"{fields}, ids array<int>").toDF(*names, "ids")
 
 
 def decode(coded: DataFrame, model: str | None = None) -> DataFrame:
     """Add ``decoded`` to rows with ``ids``; null ids decode to an empty text."""
     path = model or default_model()
     workers_import(coded.sparkSession)
-    kept = [c for c in coded.columns if c != "decoded"]
+    names = [c for c in coded.columns if c != "decoded"]
+    coded = for_workers(coded, names)
+    kept = coded.columns
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path)
@@ -189,8 +193,8 @@ def decode(coded: DataFrame, model: str | None = None) -> DataFrame:
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, texts], [*kept, "decoded"])
 
-    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in coded.schema if f.name in kept)
-    return coded.select(*map(quoted, kept)).mapInArrow(apply, f"{fields}, decoded string")
+    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in coded.schema)
+    return coded.mapInArrow(apply, f"{fields}, decoded string").toDF(*names, "decoded")
 
 
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelwright.llm import sketch
-from funnelwright.llm.common import documents, labels, quoted, workers_import
+from funnelwright.llm.common import documents, for_workers, labels, quoted, workers_import
 from funnelwright.llm.shingles import chunks, runs, shingle_sets
 
 #: Labelled documents that the model is fitted on, at most; chosen by a hash of their ids.
@@ -373,7 +373,9 @@ def tag(docs: DataFrame, model: Model) -> DataFrame:
     """
     workers_import(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in ("score", "spans")]
+    names = [c for c in docs.columns if c not in ("score", "spans")]
+    docs = for_workers(docs, names)
+    kept = docs.columns
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -389,9 +391,9 @@ def tag(docs: DataFrame, model: Model) -> DataFrame:
                 columns += [pa.array(model.scores(p, bounds), pa.float64()), pa.array(spans, _SPANS)]
                 yield pa.RecordBatch.from_arrays(columns, [*kept, "score", "spans"])
 
-    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema if f.name in kept)
+    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema)
     spans = "spans array<struct<start: bigint, end: bigint, probability: double>>"
-    return docs.select(*map(quoted, kept)).mapInArrow(apply, f"{fields}, score double, {spans}")
+    return docs.mapInArrow(apply, f"{fields}, score double, {spans}").toDF(*names, "score", "spans")
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())]))

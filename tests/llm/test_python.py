@@ -293,6 +293,30 @@ def test_columns_with_any_name_pass_through(spark):
     assert "a.b" in pieces.encode(docs).columns and pieces.encode(docs).count() == 2
 
 
+def test_lines_of_words_with_one_token_stay_apart(spark):
+    """Pairs of words whose hashes agree in the bits that make a token, and words that share all else."""
+    rng, seen, pairs = np.random.default_rng(5), {}, []
+    bits = linededup.TOKEN_BITS
+    for _ in range(40):
+        made = [f"u{n:08d}" for n in rng.integers(0, 10**8, 50_000)]
+        hashes = shingles.words(pa.array([" ".join(made)]))[0] >> np.uint64(64 - bits)
+        for word, token in zip(made, hashes.tolist(), strict=True):
+            other = seen.setdefault(token, word)
+            if other != word:
+                pairs.append((other, word))
+        if pairs and len(seen) > 1_000_000:
+            break
+    pairs = pairs or [("u00185208", "u04511032")]
+    for a, b in pairs[:3]:
+        h = shingles.words(pa.array([f"{a} {b}"]))[0]
+        assert h[0] >> np.uint64(64 - bits) == h[1] >> np.uint64(64 - bits) and h[0] != h[1]
+        texts = [f"{a}\nother words here now", f"{b}\nfive more words stand alone", f"{a} {b} {a} x y z", f"{b} {a} x y z"]
+        docs = docs_of(spark, texts).selectExpr("*", "7 AS _doc", "8 AS _twin", "9 AS _gone", "1 AS n_removed")
+        out = linededup.without_repeats(docs).orderBy("doc_id").collect()
+        assert [r.n_removed for r in out] == [0, 0, 0, 1]
+        assert {(r["_doc"], r["_twin"], r["_gone"]) for r in out} == {(7, 8, 9)}
+
+
 def test_words_are_remembered_in_halves(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 64)
     fresh, coder = packing.WordIds(packing.default_tokenizer()), packing.WordIds(packing.default_tokenizer())
