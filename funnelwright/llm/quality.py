@@ -27,12 +27,13 @@ SHARE = 0.6
 STEPS = 8
 #: Chance that a normal document of a group lies beyond the limit.
 BEYOND = 1e-6
-#: Smaller groups use the estimates of their language, and small languages those of all rows.
-LEAST_ROWS = 200
+#: A group's estimates are drawn to its language's, and these to those of all rows, as by so many documents.
+SHRINK = 200
 #: Words' worth of the group's mean that smooth the ratios of short texts.
 SMOOTHING = 50
-#: Scatter that every group has at least, by statistic, as a standard deviation.
-FLOORS = {"word_length": 0.06, "symbols": 0.06, "repeats": 0.12, "copies": 0.20, "capitals": 0.08}
+#: Scatter that every group has at least, by statistic, as a standard deviation. Each is under a sixth of
+#: what its statistic can deviate, so that one statistic alone can reject.
+FLOORS = {"word_length": 0.06, "symbols": 0.06, "repeats": 0.05, "copies": 0.10, "capitals": 0.08}
 #: Groups are broadcast up to so many, of under 500 bytes each.
 BROADCAST_GROUPS = 50_000
 _DIM = len(FLOORS)
@@ -120,13 +121,12 @@ def statistics(rows: DataFrame) -> DataFrame:
             (F.sum(c) / F.greatest(F.sum("n_words"), F.lit(1))).alias(f"_{c}")
             for c in ("word_chars", "n_symbols", "n_repeat_words", "n_capitals")
         ],
-        (F.sum("n_dup_lines") / F.greatest(F.sum("n_lines"), F.lit(1))).alias("_n_dup_lines"),
     )
     x = F.array(
         F.log(F.greatest(_smoothed("word_chars", "n_words", "_word_chars"), F.lit(0.1))),
         F.sqrt(_smoothed("n_symbols", "n_words", "_n_symbols")),
         F.sqrt(_smoothed("n_repeat_words", "n_words", "_n_repeat_words")),
-        F.sqrt((F.col("n_dup_lines") + 5 * F.col("_n_dup_lines")) / (F.col("n_lines") + 5)),
+        F.sqrt(F.col("n_dup_lines") / (F.col("n_lines") + 5)),
         F.sqrt(_smoothed("n_capitals", "n_words", "_n_capitals")),
     )
     return rows.join(_small(means), "g").withColumn("x", x).drop(*[c for c in means.columns if c != "g"])
@@ -161,7 +161,7 @@ def _kept_scatter(share: float) -> float:
 
 
 _FLOOR = np.diag(np.array(list(FLOORS.values())) ** 2)
-_ESTIMATE = "g string, mean array<double>, inverse array<double>, logdet double"
+_ESTIMATE = "g string, n bigint, mean array<double>, inverse array<double>, logdet double"
 
 
 def _estimates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -174,8 +174,34 @@ def _estimates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             products[np.triu_indices(_DIM)] = np.array(row.products) / row.n
             products += np.triu(products, 1).T
             scatter = (products - np.outer(mean, mean)) * row.factor + _FLOOR
-            out.append((row.g, mean, np.linalg.inv(scatter).ravel(), np.linalg.slogdet(scatter)[1]))
-        yield pd.DataFrame(out, columns=["g", "mean", "inverse", "logdet"])
+            out.append((row.g, row.n, mean, np.linalg.inv(scatter).ravel(), np.linalg.slogdet(scatter)[1]))
+        yield pd.DataFrame(out, columns=["g", "n", "mean", "inverse", "logdet"])
+
+
+def _drawn(n: float, own, parent):
+    """Mean and scatter of a group drawn to its parent's, the less the more documents it has."""
+    if own is None:
+        return parent
+    share = n / (n + SHRINK)
+    return tuple(share * a + (1 - share) * b for a, b in zip(own, parent, strict=True))
+
+
+def _judges(every: tuple | None):
+    """The estimates that each group is judged by: its own, drawn to its language's, drawn to those of all rows."""
+
+    def read(mean, inverse) -> tuple | None:
+        return None if mean is None else (np.array(mean), np.linalg.inv(np.reshape(inverse, (_DIM, _DIM))))
+
+    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for row in frame.itertuples(index=False):
+                tongue = _drawn(row.rows_1, read(row.mean_1, row.inverse_1), read(*every))
+                mean, scatter = _drawn(row.rows, read(row.mean, row.inverse), tongue)
+                out.append((row.g, mean, np.linalg.inv(scatter).ravel()))
+            yield pd.DataFrame(out, columns=["g", "mean", "inverse"])
+
+    return judge
 
 
 def _distance(x: str = "x") -> Column:
@@ -216,19 +242,20 @@ def estimates(levels: DataFrame) -> DataFrame:
         "g",
         "mean",
         F.array(*[1 / spread[i] if i == j else F.lit(0.0) for i in range(_DIM) for j in range(_DIM)]).alias("inverse"),
+        F.lit(0).cast("bigint").alias("n"),
         F.lit(float("inf")).alias("logdet"),
     )
     now, total = _small(start), None
     for _ in range(STEPS):
         placed = levels.join(now, "g").withColumn("d2", _distance())
         cut = placed.groupBy("g").agg(F.percentile_approx("d2", SHARE, 1000).alias("cut"))
-        near = placed.drop("mean", "inverse", "logdet").join(_small(cut), "g").filter("d2 <= cut")
+        near = placed.drop("n", "mean", "inverse", "logdet").join(_small(cut), "g").filter("d2 <= cut")
         now = _small(_moments(near, 1 / _kept_scatter(SHARE)))
         before, total = total, now.agg(F.sum("logdet")).first()[0]
         if before is not None and total is not None and total > before - 1e-3 * max(1.0, abs(before)):
             break
     inside = levels.join(now, "g").withColumn("d2", _distance()).filter(F.col("d2") <= chi_square_limit(0.025))
-    return _small(_moments(inside.drop("mean", "inverse", "logdet"), 1 / _kept_scatter(0.975)))
+    return _small(_moments(inside.drop("n", "mean", "inverse", "logdet"), 1 / _kept_scatter(0.975)))
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
@@ -236,29 +263,29 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have no words, so they fail the base rules. Estimates
     rest on rows that pass them. Null languages and sources are groups of their
-    own; a group of under ``LEAST_ROWS`` such rows is judged by its language, a
-    small language by all rows. Rows are judged alike however often they repeat.
-    Other columns are ignored.
+    own. Every group is judged by its own estimates, drawn to those of its language
+    by a weight that falls smoothly with its rows, as these are to those of all rows.
+    Rows are judged alike however often they repeat. Other columns are ignored.
     """
     rows = stored(statistics(stored(counts(docs), "counts")).withColumn("base_failed", base_failed()), "statistics")
-    good = rows.filter("NOT base_failed").select("lang", "source", "g", "x")
-    tongue = good.withColumn("tongue", _key("lang"))
-    sizes = tongue.groupBy("g", "tongue").agg(F.count("*").alias("n"))
-    languages = tongue.groupBy("tongue").agg(F.count("*").alias("n_tongue"))
-    used = sizes.join(languages, "tongue").select(
-        "g",
-        F.when(F.col("n") >= LEAST_ROWS, F.col("g"))
-        .when(F.col("n_tongue") >= LEAST_ROWS, F.col("tongue"))
-        .otherwise(_key())
-        .alias("judge"),
-    )
-    used = _small(used)
+    good = rows.filter("NOT base_failed").select("lang", "source", "g", "x").withColumn("g_1", _key("lang"))
     # Rows serve each group that judges someone: their own, their language, all.
-    judges = _small(used.select(F.col("judge").alias("g")).distinct())
-    serving = good.select(F.explode(F.array("g", _key("lang"), _key())).alias("g"), "x")
-    found = estimates(stored(serving.join(judges, "g"), "levels"))
-    judged = rows.join(used, "g", "left").drop("g").withColumnRenamed("judge", "g")
-    placed = judged.join(found, "g", "left").withColumn("distance", F.sqrt(_distance()))
+    serving = good.select(F.explode(F.array("g", "g_1", _key())).alias("g"), "x")
+    found = estimates(stored(serving, "levels"))
+    sizes = stored(good.groupBy("g", "g_1").agg(F.count("*").alias("rows")), "sizes")
+    tongues = sizes.groupBy("g_1").agg(F.sum("rows").alias("rows_1"))
+
+    every = found.filter(F.col("g") == _key()).select("mean", "inverse").first()  # one row of fixed size
+    above = found.select(F.col("g").alias("g_1"), F.col("mean").alias("mean_1"), F.col("inverse").alias("inverse_1"))
+    lined = (
+        sizes.join(tongues, "g_1")
+        .join(found.select("g", "mean", "inverse"), "g", "left")
+        .join(above, "g_1", "left")
+        .select("g", "rows", "mean", "inverse", "rows_1", "mean_1", "inverse_1")
+    )
+    judges = lined.mapInPandas(_judges(tuple(every) if every else None), "g string, mean array<double>, inverse array<double>")
+    judges = _small(judges)
+    placed = rows.join(judges, "g", "left").withColumn("distance", F.sqrt(_distance()))
     far = F.coalesce(F.col("distance") > math.sqrt(chi_square_limit(BEYOND)), F.lit(False))
     return placed.select(
         "doc_id",

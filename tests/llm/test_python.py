@@ -209,6 +209,71 @@ def test_quality_counts_and_outliers(spark):
     assert quality.verdicts(docs_of(spark, [])).count() == 0
 
 
+def test_each_statistic_rejects_by_itself(spark):
+    """Texts that pass the base rules and are far off in one statistic, among clean ones of a large and of a small source."""
+    rng = random.Random(11)
+    word = lambda lo=2, hi=8: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(lo, hi)))
+    clean = lambda n: [word() for _ in range(n)]
+    passage = clean(36)
+    lines = "\n".join("Click here" if k % 2 else " ".join(clean(9)) for k in range(40))
+    outliers = [
+        " ".join(word(25, 30) for _ in range(200)),
+        " ".join(w + "###" for w in clean(200)),
+        " ".join(clean(100) + passage + clean(200) + passage + clean(20)),
+        lines,
+        " ".join(w.upper() for w in clean(200)),
+    ]
+    sources = ["big"] * 400 + ["few"] * 12
+    rows = [(i, " ".join(clean(rng.randint(80, 400))), "en", s) for i, s in enumerate(sources)]
+    rows += [(1000 + i, t, "en", s) for s in ("big", "few") for i, t in enumerate(outliers, 100 if s == "few" else 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.verdicts(docs.selectExpr("*", "1 AS n", "2 AS g", "3 AS `a.b`")).collect()}
+    assert not any(got[i].base_failed for i in got)
+    assert all(got[i].kept for i in range(len(sources)))
+    assert [i for i in got if i >= 1000 and got[i].kept] == []
+
+
+def test_verdicts_move_smoothly_with_the_size_of_a_group(spark):
+    """No jump where a source grows: the distance of one text changes little from 190 to 210 rows."""
+    rng = random.Random(12)
+    text = lambda hi: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, hi))) for _ in range(120))
+    probe, big, small = text(12), [text(8) for _ in range(500)], [text(10) for _ in range(230)]
+    found = []
+    for n in (190, 200, 210):
+        rows = [(i, t, "en", "big") for i, t in enumerate(big)] + [(1000 + i, t, "en", "small") for i, t in enumerate(small[:n])]
+        docs = spark.createDataFrame([(-1, probe, "en", "small"), *rows], "doc_id bigint, text string, lang string, source string")
+        found.append(quality.verdicts(docs).filter("doc_id = -1").first().distance)
+    assert max(found) - min(found) < 0.15 * max(found)
+
+
+def test_estimates_equal_a_search_from_many_starts(spark):
+    """Centre and scatter of each group against the best of many random starts, in numpy."""
+    rng = np.random.default_rng(8)
+    groups = {}
+    for g in ("a", "b", "c"):
+        mix_ = rng.normal(0, 0.4, (5, 5))
+        groups[g] = np.concatenate([rng.normal(0, 1, (400, 5)) @ mix_ + rng.normal(0, 1, 5), rng.normal(9, 0.3, (80, 5))])
+    rows = [(g, [float(x) for x in v]) for g, data in groups.items() for v in data]
+    found = quality.estimates(spark.createDataFrame(rows, "g string, x array<double>")).collect()
+    for row in found:
+        data, best = groups[row.g], None
+        h = int(quality.SHARE * len(data))
+        for _ in range(60):
+            near = rng.choice(len(data), 8, replace=False)
+            for _ in range(15):
+                centre, scatter = data[near].mean(0), np.cov(data[near].T) + 1e-6 * np.eye(5)
+                d2 = ((data - centre) @ np.linalg.inv(scatter) * (data - centre)).sum(1)
+                near = np.argsort(d2)[:h]
+            det = np.linalg.det(np.cov(data[near].T))
+            if best is None or det < best[0]:
+                best = (det, near)
+        centre, scatter = data[best[1]].mean(0), np.cov(data[best[1]].T) / quality._kept_scatter(quality.SHARE)
+        want = ((data - centre) @ np.linalg.inv(scatter) * (data - centre)).sum(1) > quality.chi_square_limit(1e-6)
+        off = data - np.array(row.mean)
+        got = (off @ np.reshape(row.inverse, (5, 5)) * off).sum(1) > quality.chi_square_limit(1e-6)
+        assert (got == want).mean() > 0.99 and got[400:].all() and got[:400].mean() < 0.01
+
+
 def test_concentration_resists_a_third_of_outliers(spark):
     rng = np.random.default_rng(3)
     clean = rng.normal(0, 0.5, (700, 5))
