@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from funnelwright.functions import hour_of
 from funnelwright.operators.joins import sized_broadcast
+from funnelwright.plans.keyindex import days_of_keys, extend_index, holding, linked_sources, on_days
 from funnelwright.plans.views import VIEWS
 from funnelwright.sources.tables import (
     create_table,
@@ -230,26 +231,29 @@ def full_load(spark: SparkSession, spec: Spec, tables: Tables, root: str) -> Non
         write_watermark(spark, root, spec.table, end)
 
 
-def late_request_ids(tables: Tables, arrived: Tables) -> DataFrame:
+def late_request_ids(spark: SparkSession, tables: Tables, arrived: Tables, root: str) -> DataFrame:
     """Requests whose chain gains rows from newly arrived events of later stages."""
-    responses = tables["bid_responses"].select("response_id", "request_id")
-    impressions = tables["impressions"].select("impression_id", "response_id")
+
+    def responses(keys: DataFrame) -> DataFrame:
+        near = holding(spark, root, tables, "bid_responses", "response_id", keys)
+        return near.join(keys, "response_id", "left_semi").select("request_id")
+
     keys = []
     if "bid_responses" in arrived:
         keys.append(arrived["bid_responses"].select("request_id"))
     if "impressions" in arrived:
         new = arrived["impressions"].select("response_id")
-        keys.append(responses.join(new, "response_id", "left_semi").select("request_id"))
+        keys.append(responses(new))
     if "clicks" in arrived:
         new = arrived["clicks"].select("impression_id")
-        shown = impressions.join(new, "impression_id", "left_semi")
-        keys.append(responses.join(shown, "response_id", "left_semi").select("request_id"))
+        near = holding(spark, root, tables, "impressions", "impression_id", new)
+        keys.append(responses(near.join(new, "impression_id", "left_semi").select("response_id")))
     if "bid_requests" in arrived:
         keys.append(arrived["bid_requests"].select("request_id"))
     return reduce(DataFrame.unionByName, keys).distinct()
 
 
-def touched_hours(spec: Spec, tables: Tables, arrived: Tables) -> DataFrame:
+def touched_hours(spark: SparkSession, spec: Spec, tables: Tables, arrived: Tables, root: str) -> DataFrame:
     """Hours of an aggregate that newly arrived events change, also through links."""
     driver, links = {
         "v_agg_metrics_by_bidder": ("impressions", {}),
@@ -264,9 +268,11 @@ def touched_hours(spec: Spec, tables: Tables, arrived: Tables) -> DataFrame:
     if driver in arrived:
         found.append(arrived[driver])
     if links is None:
-        found.append(facts.join(late_request_ids(tables, arrived), "request_id", "left_semi"))
-    else:
-        found += [facts.join(arrived[t], key, "left_semi") for t, key in links.items() if t in arrived]
+        links, arrived = {"late": "request_id"}, {"late": late_request_ids(spark, tables, arrived, root)}
+    for t, key in links.items():
+        if t in arrived:
+            near = holding(spark, root, tables, driver, key, arrived[t].select(key))
+            found.append(near.join(arrived[t], key, "left_semi"))
     hours = [df.select(hour_of(F.col("event_timestamp")).alias("hour")) for df in found]
     if not hours:
         return facts.select(hour_of(F.col("event_timestamp")).alias("hour")).limit(0)
@@ -286,11 +292,14 @@ def _since(df: DataFrame, test: Column, at, ts: str) -> DataFrame:
     return out.filter(F.col("event_date") >= F.to_date(at)) if "event_date" in df.columns else out
 
 
-def driven_rows(facts: DataFrame, mark_keys: list, spec: Spec, recent, at) -> DataFrame | None:
+def driven_rows(
+    facts: DataFrame, mark_keys: list, spec: Spec, recent, at, days: list | None = None
+) -> DataFrame | None:
     """Rows of the driving fact that the view's hit rows come from; None if keys lie on other facts.
 
-    New rows are found by day; rows for a key by one semi join. An aggregate's
-    hour or key takes all its rows, so groups stay whole.
+    New rows are found by day; rows for a key by one semi join, among the ``days``
+    that can hold it where those are known. An aggregate's hour or key takes all its
+    rows, so groups stay whole.
     """
     ts = F.col("event_timestamp")
     time = F.date_trunc("hour", ts) if spec.hourly else ts
@@ -298,6 +307,8 @@ def driven_rows(facts: DataFrame, mark_keys: list, spec: Spec, recent, at) -> Da
     new = F.coalesce(recent(F.col("_time")), F.lit(True))
     parts = [_since(facts, recent(F.col("_time")), at, "_time"), facts.filter(F.col("_time").isNull())]
     others = facts.filter(~new)
+    if days is not None:
+        others = on_days(others, days)
     found = None
     for i, (keys, on) in enumerate(mark_keys):
         columns = [(F.date_trunc("hour", ts) if row == spec.ts and key == "hour" else F.col(row), row, key) for row, key in on]
@@ -342,6 +353,7 @@ def materialise(
         delete_path(spark, stage)
 
     tables = open_run(spark, spec, tables, root)
+    extend_index(spark, tables, root)
     stored = spark.read.parquet(path)
     if arrived is None:
         arrived = arrivals(tables, read_marks(spark, root, spec.table))
@@ -354,9 +366,9 @@ def materialise(
         if changes is not None and not changes.isEmpty():
             mark_keys.append((changes, list(on)))
     if arrived and spec.table == "mat_full_funnel":
-        mark_keys.append((late_request_ids(tables, arrived), [("request_id", "request_id")]))
+        mark_keys.append((late_request_ids(spark, tables, arrived, root), [("request_id", "request_id")]))
     elif arrived and spec.hourly:
-        mark_keys.append((touched_hours(spec, tables, arrived), [(spec.ts, "hour")]))
+        mark_keys.append((touched_hours(spark, spec, tables, arrived, root), [(spec.ts, "hour")]))
     elif DRIVERS[spec.view] in arrived:
         late = arrived[DRIVERS[spec.view]]
         key = {"clicks": "click_id", "impressions": "impression_id", "bid_responses": "response_id"}.get(
@@ -390,9 +402,12 @@ def materialise(
     # The view runs over those rows of its driving fact that can be hit, and no others.
     sources = dict(tables)
     driver = DRIVERS[spec.view]
-    narrowed = driven_rows(tables[driver], mark_keys, spec, recent, at)
+    days = days_of_keys(spark, root, tables, driver, mark_keys)
+    narrowed = driven_rows(tables[driver], mark_keys, spec, recent, at, days)
     if narrowed is not None:
         sources[driver] = narrowed
+        if days is not None:
+            sources = linked_sources(spark, root, spec.view, sources)
 
     # Fresh rows are written once; finding their days must not compute the view again.
     fresh_path = f"{root}/_staging/{spec.table}_fresh"

@@ -807,6 +807,8 @@ def oracles() -> dict[str, str]:
         "mat_lookback_repair": out["v_event_enriched_impressions"],
         "mat_dim_repair": out["v_agg_bid_landscape"],
         "mat_funnel_repair": out["v_event_enriched_full_funnel"],
+        "mat_indexed_repair": out["v_event_enriched_full_funnel"],
+        "mat_indexed_serving": out["v_agg_serving_metrics"],
         "stream_click_join": with_ctes(
             """SELECT i.impression_id, bidder_id, win_price, i.event_timestamp AS event_ts, click_id,
                 c.event_timestamp AS click_ts

@@ -21,7 +21,7 @@ from funnelwright.plans.materialise import SPECS, materialise
 from funnelwright.session import work_dir
 from funnelwright.sources import derived
 from funnelwright.sources.events import event_files
-from funnelwright.sources.tables import read_table
+from funnelwright.sources.tables import balanced, read_table, with_event_date
 from funnelwright.streaming.deltas import STAGE_OF, funnel_counts, run_funnel
 from funnelwright.streaming.ingest import start_ingest
 from funnelwright.streaming.late import late_rows, start_split
@@ -247,11 +247,11 @@ def stream_funnel_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return funnel_counts(spark, f"{root}/funnel")
 
 
-def _materialised(table: str, late: str | None, dims_change: bool, **options) -> Query:
+def _materialised(table: str, late: str | None, dims_change: bool, by_day: bool = False, **options) -> Query:
     """Load a table from part of the data, then bring it up to date with the rest.
 
     ``late`` is a rule on a fact's id for rows that are missing at first though
-    their time is before the split.
+    their time is before the split. Facts kept ``by_day`` are found by the index of their ids.
     """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,7 +263,9 @@ def _materialised(table: str, late: str | None, dims_change: bool, **options) ->
             rows = build(spark, sf_dir)
             is_late = F.expr(late.format(id=rows.columns[0])) if late else F.lit(False)
             rows = rows.withColumn("batch_id", F.when(after | is_late, 2).otherwise(1))
-            rows.write.partitionBy("batch_id").parquet(f"{root}/facts/{name}")
+            days = ["event_date"] if by_day else []
+            rows = with_event_date(rows) if by_day else rows
+            balanced(rows, [*days, "batch_id"]).write.partitionBy(*days, "batch_id").parquet(f"{root}/facts/{name}")
             stored = spark.read.parquet(f"{root}/facts/{name}")
             first[name] = stored.filter("batch_id = 1")
             everything[name] = stored
@@ -331,4 +333,6 @@ def stateful_queries() -> Mapping[str, Query]:
         },
         "scd2_load": _loaded_dimension,
         "mat_funnel_repair": _materialised("mat_full_funnel", "pmod(hash({id}), 7) = 0", True),
+        "mat_indexed_repair": _materialised("mat_full_funnel", "pmod(hash({id}), 7) = 0", False, by_day=True),
+        "mat_indexed_serving": _materialised("mat_agg_serving_metrics", "pmod(hash({id}), 7) = 0", False, by_day=True),
     }

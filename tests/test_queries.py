@@ -30,6 +30,8 @@ SAMPLE = [
     "creative_path",
     "stream_rolling",
     "mat_lookback_repair",
+    "mat_indexed_repair",
+    "mat_indexed_serving",
     "stream_restart",
     "stream_late_rows",
     "stream_funnel_delta",

@@ -5,10 +5,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from funnelwright.operators import dims, funnel, stages
+from funnelwright.plans import keyindex
 from funnelwright.plans.materialise import SPECS, materialise, read_watermark
 from funnelwright.plans.views import VIEWS
 from funnelwright.sources import derived
-from funnelwright.sources.tables import append_facts, compact, create_table, read_table, replace_partitions, time_range
+from funnelwright.sources.tables import (
+    append_facts,
+    compact,
+    create_table,
+    read_table,
+    replace_partitions,
+    time_range,
+    with_event_date,
+)
 from funnelwright.streaming.ingest import write_batch
 from funnelwright.streaming.upsert import envelope, expire_landed, upsert_batch
 
@@ -214,3 +223,74 @@ def test_manifest_of_an_interrupted_run_is_published_with_its_stage(spark, tmp_p
     tables.now["dim_bidder"] = first
     materialise(spark, spec, tables, root)
     assert names_shown(spark, root) == {"one"}
+
+
+def landed(spark, root, batches):
+    """Facts stored by day and batch, of the batches up to one; a rule tells the batch of a row."""
+    for name, build in derived.FACTS.items():
+        rows = with_event_date(build(spark, SF)).withColumn("batch_id", F.expr(batches.format(id=build(spark, SF).columns[0])))
+        rows.write.mode("overwrite").partitionBy("event_date", "batch_id").parquet(f"{root}/facts/{name}")
+    return lambda last: {n: spark.read.parquet(f"{root}/facts/{n}").filter(F.col("batch_id") <= last) for n in derived.FACTS}
+
+
+def partition_filters(df):
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "PartitionFilters" in line]
+
+
+def test_ids_name_the_days_that_hold_them(spark, tmp_path):
+    root = str(tmp_path)
+    facts = landed(spark, root, "IF(pmod(hash({id}), 5) = 0, 2, 1)")
+    keyindex.extend_index(spark, facts(1), root)
+    every = facts(2)
+    shown = every["impressions"]
+    assert shown.select("event_date").distinct().count() > 2
+    one = shown.filter("batch_id = 1 AND event_date = '2024-01-02'").orderBy("impression_id").limit(1)
+    near = keyindex.holding(spark, root, facts(1), "impressions", "impression_id", one)
+    assert [r[0].isoformat() for r in near.select("event_date").distinct().collect()] == ["2024-01-02"]
+    assert any("2024-01-02" in line and "2024-01-01" not in line for line in partition_filters(near))
+    # the index lags behind a batch, so the days of that batch are read as well
+    behind = keyindex.days_holding(spark, root, every, "impressions", "impression_id", one)
+    later = shown.filter("batch_id = 2").select("event_date")
+    assert {r[0] for r in later.collect()} <= {r[0] for r in behind.collect()}
+    for _ in range(2):
+        keyindex.extend_index(spark, every, root)
+    assert keyindex.covered(spark, root, "impressions") == 2
+    rows = keyindex.days_holding(spark, root, every, "impressions", "impression_id", one).collect()
+    assert [r[0].isoformat() for r in rows] == ["2024-01-02"]
+    # every id is found on the day it is on, unknown and null ids on none, and untracked facts are read whole
+    held = spark.read.parquet(f"{root}/key_index/clicks").filter("link = 'impression_id'")
+    want = every["clicks"].filter("impression_id IS NOT NULL").select(F.xxhash64("impression_id"), "event_date").distinct()
+    assert held.select("id_hash", "event_date").distinct().exceptAll(want).isEmpty() and held.count() >= want.count()
+    none = spark.sql("SELECT CAST(NULL AS string) AS impression_id UNION ALL SELECT 'unknown'")
+    assert keyindex.holding(spark, root, every, "clicks", "impression_id", none).isEmpty()
+    whole = every | {"clicks": every["clicks"].drop("event_date")}
+    assert keyindex.holding(spark, root, whole, "clicks", "impression_id", none) is whole["clicks"]
+
+
+def test_repair_by_key_reads_few_days(spark, tmp_path, rows_of, monkeypatch):
+    """One late click of the first day: the funnel is repaired from the days of its chain."""
+    root, spec = str(tmp_path), SPECS["mat_full_funnel"]
+    click = derived.click_facts(spark, SF).filter("event_timestamp < '2024-01-01 20:00:00'").orderBy("click_id").first()
+    facts = landed(spark, root, f"IF({{id}} = '{click.click_id}', 2, 1)")
+    names = {dim for dim, _ in spec.dims}
+    dimensions = {name: derived.dimension(spark, SF, name) for name in names}
+    materialise(spark, spec, facts(1) | dimensions, root)
+    materialise(spark, spec, facts(1) | dimensions, root)
+    seen, view = {}, VIEWS[spec.view]
+
+    def watched(tables):
+        seen.update(tables)
+        return view(tables)
+
+    with monkeypatch.context() as m:
+        m.setitem(VIEWS, spec.view, watched)
+        materialise(spark, spec, facts(2) | dimensions, root)
+    every = facts(2)
+    for name in ("bid_responses", "impressions", "clicks"):
+        assert any("event_date" in line and "isnull" in line for line in partition_filters(seen[name])), name
+        assert 0 < seen[name].count() < every[name].count()
+    got = spark.read.parquet(f"{root}/{spec.table}").drop("event_date")
+    assert got.filter(F.col("click_id") == click.click_id).count() > 0
+    assert rows_of(got) == rows_of(view(every | dimensions).select(*got.columns))
