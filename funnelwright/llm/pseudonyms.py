@@ -21,20 +21,55 @@ KEY_SETTING = "spark.funnelwright.pseudonyms.key"
 TEST_KEY = "not-a-secret"
 
 _START, _END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+# Length of an account number by country, from the public registry of IBAN formats.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+    "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22,
+    "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18,
+    "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24,
+    "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24,
+    "XK": 20,
+}
+
+
+def _iban_shape() -> str:
+    """Numbers of their country's length, in either case, then those of other countries.
+
+    A word that follows is no part of a number whose length is known.
+    """
+    shapes = []
+    for length in sorted(set(IBAN_LENGTHS.values())):
+        countries = "|".join(c for c, n in IBAN_LENGTHS.items() if n == length)
+        fours, rest = divmod(length - 4, 4)
+        tail = f"(?: ?[A-Z0-9]{{{rest}}})" if rest else ""
+        shapes.append(f"(?:{countries})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}{tail}" + _END)
+    known = "|".join(shapes)
+    other = "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END
+    return _START + f"(?:(?i:{known})|{other})"
+
+
 #: By kind, in order of precedence. A shape has no groups that capture.
 SHAPES = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "secret": r"(?<=(?i:token|secret|api_key|password) ?[=:] ?\"?)[0-9a-fA-F]{32,64}" + _END,
-    "iban": _START + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END,
+    # keys that tell what they are by how they begin
+    "key": _START + r"(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[oprsu]_[A-Za-z0-9]{36})" + _END,
+    "iban": _iban_shape(),
     "date": _START
     + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?:(?=[Tt][0-9]{2})|(?![\p{L}\p{N}]))|(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})"
     + _END
     + ")",
     "ssn": _START + r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9])" + _END,
     "ip": r"(?<![\p{L}\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[\p{L}\p{N}])",
-    # national groups, groups after a country code (8 to 15 digits in all), then one run after a country code
+    # national groups, groups after 00 and a country code or an area code in brackets, groups after a country code (8 to 15 digits in all), then one run after a country code
     "phone": r"(?<![\p{L}\p{N}+])(?:(?:\+[0-9]{1,3}[ .-]?)?"
     r"(?:\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4})" + _END
+    + r"|00[1-9][0-9]{0,2}(?: [0-9]{2,4}){3,5}"
+    + _END
+    + r"|\(0[0-9]{1,4}\) ?[0-9]{3,4}[ -]?[0-9]{3,4}"
+    + _END
     + r"|\+[0-9](?:[ ().-]{0,2}[0-9]){7,14}"
     + _END
     + r"|\+[0-9]{1,3}[ .-]?[0-9]{6,12}"
@@ -178,7 +213,10 @@ def _mod97(chars: Column) -> Column:
 
 
 def _iban(value: Column, key: Column) -> Column:
-    """Country and letters kept, the digits of the account permuted, check digits computed anew."""
+    """Country and letters kept, the digits of the account permuted, check digits computed anew.
+
+    Small letters count as capitals and stay as they are, so one number has one pseudonym however it is written.
+    """
 
     def moved(plain: Column) -> Column:
         country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
@@ -204,9 +242,10 @@ def _iban(value: Column, key: Column) -> Column:
             ),
         )
         valid = (_mod97(F.concat(account, country, F.substring(plain, 3, 2))) == 1) & (F.length(plain) >= 15)
-        return F.when(valid, bound(whole, lambda s: _laid_out(value, s)))
+        cased = F.when(value.rlike("[A-Z]"), whole).otherwise(F.lower(whole))
+        return F.when(valid, bound(cased, lambda s: _laid_out(value, s)))
 
-    return bound(F.regexp_replace(value, " ", ""), moved)
+    return bound(F.upper(F.regexp_replace(value, " ", "")), moved)
 
 
 def _ssn(value: Column, key: Column) -> Column:
@@ -307,12 +346,13 @@ def _date(value: Column, key: Column) -> Column:
 
 def _phone(value: Column, key: Column) -> Column:
     """Country code and layout kept, the digits of the number permuted."""
-    country = F.regexp_extract(value, r"^(\+[0-9]{1,3}[ .-]?)(?=[(0-9])", 1)
+    country = F.regexp_extract(value, r"^((?:\+|00)[0-9]{1,3}[ .-]?)(?=[(0-9])", 1)
 
     def moved(prefix: Column) -> Column:
         rest = F.substring(value, F.length(prefix) + 1, F.length(value))
         digits = _digits(rest)
-        tweak = F.concat(F.lit("phone"), _digits(prefix), F.length(digits).cast("string"))
+        code = F.regexp_replace(_digits(prefix), "^00", "")
+        tweak = F.concat(F.lit("phone"), code, F.length(digits).cast("string"))
         return F.concat(
             prefix, bound(permute_symbols(digits, "0123456789", key, tweak), lambda s: _laid_out(rest, s))
         )
@@ -330,6 +370,15 @@ def _secret(value: Column, key: Column) -> Column:
     )
 
 
+def _prefixed_key(value: Column, key: Column) -> Column:
+    """The beginning kept, the rest permuted among capitals and digits, or among all letters and digits."""
+    lead = F.substring(value, 1, 4)
+    rest = F.substring(value, F.lit(5), F.length(value))
+    capitals = permute_symbols(rest, _LETTERS, key, F.concat(F.lit("key"), lead))
+    every = permute_symbols(rest, _LETTERS + _LETTERS[10:].lower(), key, F.concat(F.lit("key"), lead))
+    return F.concat(lead, F.when(lead.endswith("_"), every).otherwise(capitals))
+
+
 def _email(value: Column, key: Column) -> Column:
     """The mailbox becomes 16 keyed hex digits; its domain stays."""
     at = F.instr(value, "@")
@@ -343,6 +392,7 @@ def pseudonym(value: Column, key: Column) -> Column:
     moved = {
         "email": _email(value, key),
         "secret": _secret(value, key),
+        "key": _prefixed_key(value, key),
         "iban": _iban(value, key),
         "date": _date(value, key),
         "ssn": _ssn(value, key),
@@ -353,11 +403,12 @@ def pseudonym(value: Column, key: Column) -> Column:
     whole = {
         "email": F.instr(value, "@") > 0,
         "secret": value.rlike("^[0-9a-fA-F]{32,64}$"),
-        "iban": value.rlike("^[A-Z]{2}"),
+        "key": value.rlike("^(AKIA|ASIA|gh[oprsu]_)"),
+        "iban": value.rlike("^[A-Za-z]{2}"),
         "date": value.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\2[0-9]{4})$"),
         "ssn": value.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"),
         "ip": value.rlike(r"^([0-9]{1,3}\.){3}[0-9]{1,3}$"),
-        "phone": value.rlike(r"^[+(]|^[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}$"),
+        "phone": value.rlike(r"^[+(]|^00[1-9][0-9]{0,2} |^[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}$"),
         "card": F.lit(True),
     }
     out = None
