@@ -47,7 +47,8 @@ def _iban_shape() -> str:
         shapes.append(f"(?:{countries})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}{tail}" + _END)
     known = "|".join(shapes)
     other = "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END
-    return _START + f"(?:(?i:{known})|{other})"
+    # the countries are tried only where two letters and two digits stand
+    return _START + f"(?=[A-Za-z]{{2}}[0-9]{{2}})(?:(?i:{known})|{other})"
 
 
 #: By kind, in order of precedence. A shape has no groups that capture.
@@ -55,7 +56,7 @@ SHAPES = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "secret": r"(?<=(?i:token|secret|api_key|password) ?[=:] ?\"?)[0-9a-fA-F]{32,64}" + _END,
     # keys that tell what they are by how they begin
-    "key": _START + r"(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[oprsu]_[A-Za-z0-9]{36})" + _END,
+    "key": _START + r"(?=[Ag])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[oprsu]_[A-Za-z0-9]{36})" + _END,
     "iban": _iban_shape(),
     "date": _START
     + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?:(?=[Tt][0-9]{2})|(?![\p{L}\p{N}]))|(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})"
