@@ -32,13 +32,25 @@ def table_exists(spark: SparkSession, root: str, table: str) -> bool:
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A table under its contract; without one, under the schema of its files."""
-    reader = spark.read
+    """A table under its contract; without one, under the schema of its files.
+
+    Of a table that has been compacted, the rows that the newest marker shows: merged
+    ones where a day has been merged, and the batches after those.
+    """
     try:
         contract = table_schema(table)
     except KeyError:
-        return reader.parquet(f"{root}/{table}")
-    return reader.schema(contract).parquet(f"{root}/{table}")
+        contract = None
+
+    def read(path: str) -> DataFrame:
+        return (spark.read.schema(contract) if contract else spark.read).parquet(path)
+
+    marks = _marks(spark, root, table)
+    if not marks:
+        return read(f"{root}/{table}")
+    merged = read(_merged(root, table))
+    unmerged = spark.read.schema(merged.drop(RUN).schema).parquet(f"{root}/{table}")
+    return _shown(merged, RUN, marks, "run", "=").drop(RUN).unionByName(_shown(unmerged, BATCH, marks, "through", ">"))
 
 
 def with_event_date(df: DataFrame, ts: str = "event_timestamp") -> DataFrame:
@@ -95,6 +107,7 @@ def create_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 BATCH = "batch_id"
+RUN = "compaction_run"
 
 
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
@@ -104,63 +117,109 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
     return [part.split("=", 1)[0] for part in inside.split("/")[:-1] if "=" in part]
 
 
-def compacted_through(spark: SparkSession, root: str, table: str) -> int:
-    """The last batch that compaction has merged; -1 if none. A retry of such a batch must not land again."""
+def _merged(root: str, table: str) -> str:
+    return f"{root}/_merged/{table}"
+
+
+def _runs(spark: SparkSession, root: str, table: str) -> list[int]:
+    """Numbers of the runs of compaction that published a marker."""
     path = f"{root}/_compacted/{table}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        return -1
-    return spark.read.parquet(path).agg(F.max("through")).first()[0]
+    names = subfolders(spark, path) if path_exists(spark, path) else []
+    return sorted(int(n.split("=")[1]) for n in names if path_exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def _marks(spark: SparkSession, root: str, table: str) -> list:
+    """What the newest marker says: for each merged day the run that merged it, and its last merged batch."""
+    runs = _runs(spark, root, table)
+    if not runs:
+        return []
+    return spark.read.parquet(f"{root}/_compacted/{table}/run={runs[-1]}").orderBy("day").collect()
+
+
+def _shown(rows: DataFrame, column: str, marks: list, field: str, sign: str) -> DataFrame:
+    """Rows whose ``column`` is after (>) or equals (=) the mark of their day; prunes partitions."""
+    pairs = [F.lit(v) for m in marks for v in (m["day"], m[field])]
+    mark = F.create_map(*pairs)[F.col(marks[0]["day_column"]).cast("string")]
+    value = F.col(column).cast("bigint")
+    return rows.filter(value > F.coalesce(mark, F.lit(-1)) if sign == ">" else value == mark)
+
+
+def compacted_through(spark: SparkSession, root: str, table: str) -> int:
+    """The last batch that compaction has closed; -1 if none. A retry of such a batch must not land again."""
+    return max((m["closed"] for m in _marks(spark, root, table)), default=-1)
 
 
 def compact(spark: SparkSession, path: str, partition: dict[str, str], before_batch: int | None = None) -> int:
     """Rewrite one partition into fewer files of about 128 MB; returns how many files were planned.
 
-    All partition columns stay. In a table that tells batches, those before
-    ``before_batch`` merge into the last of them, which is noted first, so that
-    the ingest skips a retry of any. Rows are staged in full, then published,
-    then the merged batches are removed; a run that stopped on the way is
-    finished by the next. Rows go to files round robin, so a hot key does not
-    make one large file.
+    In a table that tells batches, ``partition`` names a day, and its rows of batches
+    before ``before_batch`` are merged, all other partition columns kept, beside the
+    table. Then one marker shows them in place of those batches, which readers by
+    ``read_table`` see from one moment to the next: never twice, never not at all. The
+    ingest skips a retry of a closed batch. What a marker has replaced stays for readers
+    under way, until ``remove_replaced``. A run that stopped before its marker has
+    changed nothing. One run at a time.
+
+    Another table's partition is overwritten, which readers should not be reading.
+    Rows go to files round robin, so a hot key does not make one large file.
     """
     root, table = path.rstrip("/").rsplit("/", 1)
-    stage = f"{root}/_compacting/{table}"
-    if path_exists(spark, f"{stage}/_SUCCESS"):
-        _publish_compacted(spark, stage, path)
     names = partition_columns(spark, path)
     folder = path + "".join(f"/{name}={value}" for name, value in partition.items())
-    files = max(1, -(-path_bytes(spark, folder) // TARGET_FILE_BYTES))
-    rows = spark.read.parquet(path)
+    files = max(1, -(-path_bytes(spark, folder) // TARGET_FILE_BYTES)) if path_exists(spark, folder) else 1
+    rows = read_table(spark, root, table) if BATCH in names else spark.read.parquet(path)
     for name, value in partition.items():
         rows = rows.filter(F.col(name) == F.lit(value))
-    if BATCH in names:
-        if before_batch is None:
-            raise ValueError("name the first batch that may still be retried")
-        rows = rows.filter(F.col(BATCH) < before_batch)
-        last = rows.agg(F.max(BATCH)).first()[0]
-        if last is None:
-            return 0
-        rows = rows.withColumn(BATCH, F.lit(last))
-        through = max(before_batch - 1, compacted_through(spark, root, table))
-        create_table(spark.createDataFrame([(through,)], "through int"), f"{root}/_compacted/{table}")
-    rows = rows.repartition(files) if names == list(partition) else balanced(rows, names)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*names).parquet(stage)
-    _publish_compacted(spark, stage, path)
+    if BATCH not in names:
+        stage = f"{root}/_compacting/{table}"
+        rows = rows.repartition(files) if names == list(partition) else balanced(rows, names)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*names).parquet(stage)
+        replace_partitions(spark.read.parquet(stage), path, names)
+        delete_path(spark, stage)
+        return files
+    if before_batch is None:
+        raise ValueError("name the first batch that may still be retried")
+    if list(partition) != names[:1]:
+        raise ValueError(f"batches are merged by {names[0]}")
+    rows = rows.filter(F.col(BATCH) < before_batch)
+    last = rows.agg(F.max(BATCH)).first()[0]
+    if last is None:
+        return 0
+    marks = _marks(spark, root, table)
+    run = 1 + max(_runs(spark, root, table), default=-1)
+    rows = rows.withColumn(BATCH, F.lit(last))
+    rows = rows.repartition(files) if len(names) == 2 else balanced(rows, names)
+    target = f"{_merged(root, table)}/{RUN}={run}"
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*names).parquet(target)
+    closed = max(before_batch - 1, *[m["closed"] for m in marks], -1)
+    day = str(next(iter(partition.values())))
+    kept = [(m["day"], m["run"], m["through"]) for m in marks if m["day"] != day]
+    shown = [(names[0], *m, closed) for m in [*kept, (day, run, before_batch - 1)]]
+    marker = spark.createDataFrame(shown, "day_column string, day string, run bigint, through bigint, closed bigint")
+    marker.coalesce(1).write.mode("overwrite").parquet(f"{root}/_compacted/{table}/run={run}")
     return files
 
 
-def _publish_compacted(spark: SparkSession, stage: str, path: str) -> None:
-    names = partition_columns(spark, stage)
-    staged = spark.read.parquet(stage)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*names).parquet(path)
-    if BATCH in names:
-        upper = names[: names.index(BATCH)]
-        # One row per folder of one partition: a bounded list.
-        for row in staged.groupBy(*upper).agg(F.max(BATCH).alias(BATCH)).collect():
-            folder = path + "".join(f"/{n}={row[n]}" for n in upper)
-            for name in subfolders(spark, folder):
-                if name.startswith(f"{BATCH}=") and int(name.split("=")[1]) < row[BATCH]:
-                    delete_path(spark, f"{folder}/{name}")
-    delete_path(spark, stage)
+def remove_replaced(spark: SparkSession, path: str) -> None:
+    """Remove the batches and runs that the newest marker has replaced, once nobody reads them any more."""
+    root, table = path.rstrip("/").rsplit("/", 1)
+    marks, runs = _marks(spark, root, table), _runs(spark, root, table)
+    for mark in marks:
+        _remove_batches(spark, f"{path}/{mark['day_column']}={mark['day']}", mark["through"])
+    shown = {m["run"] for m in marks}
+    for run in runs:
+        if run not in shown:
+            delete_path(spark, f"{_merged(root, table)}/{RUN}={run}")
+        if run != runs[-1]:
+            delete_path(spark, f"{root}/_compacted/{table}/run={run}")
+
+
+def _remove_batches(spark: SparkSession, folder: str, through: int) -> None:
+    for name in subfolders(spark, folder) if path_exists(spark, folder) else []:
+        if not name.startswith(f"{BATCH}="):
+            _remove_batches(spark, f"{folder}/{name}", through)
+        elif int(name.split("=")[1]) <= through:
+            delete_path(spark, f"{folder}/{name}")
 
 
 def subfolders(spark: SparkSession, path: str) -> list[str]:

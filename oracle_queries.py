@@ -795,6 +795,7 @@ def oracles() -> dict[str, str]:
         "mat_agg_funnel_leakage": out["v_agg_funnel_leakage"],
         "mat_agg_impressions_by_geo": out["v_agg_impressions_by_geo"],
         "scd2_load": out["scd2_current"],
+        "compaction": out["ingest_impressions"],
         "stream_rolling": out["rolling_bidder"],
         "stream_restart": out["rolling_bidder"],
         "stream_late_rows": _LATE_ROWS.format(impressions=out["ingest_impressions"], serving=out["serving_1m"]),

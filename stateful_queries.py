@@ -21,7 +21,7 @@ from funnelwright.plans.materialise import SPECS, materialise
 from funnelwright.session import work_dir
 from funnelwright.sources import derived
 from funnelwright.sources.events import event_files
-from funnelwright.sources.tables import balanced, read_table, with_event_date
+from funnelwright.sources.tables import balanced, compact, read_table, remove_replaced, with_event_date
 from funnelwright.streaming.deltas import STAGE_OF, funnel_counts, run_funnel
 from funnelwright.streaming.ingest import start_ingest
 from funnelwright.streaming.late import late_rows, start_split
@@ -68,6 +68,21 @@ def _ingested(table: str) -> Query:
     return run
 
 
+def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Impressions ingested in micro-batches, of which all but the last are merged, day by day."""
+    root = _folder(spark, "compaction")
+    _events(spark, sf_dir, root, ["impressions"], 3)
+    source = event_files(spark, "impressions", f"{root}/in/impressions", files_per_trigger=1)
+    for query in start_ingest({"impressions": source}, root, f"{root}/checkpoints", AVAILABLE_NOW):
+        query.awaitTermination()
+    path = f"{root}/impressions"
+    days = spark.read.parquet(path).select(F.col("event_date").cast("string")).distinct().collect()  # one row a day
+    for (day,) in days:
+        compact(spark, path, {"event_date": day}, before_batch=2)
+    remove_replaced(spark, path)
+    return read_table(spark, root, "impressions").select(*table_schema("impressions").fieldNames())
+
+
 def _third(ts: Column, span: tuple[int, int]) -> Column:
     """Which third of a time span a row falls into; rows without a time come first."""
     lo, hi = span
@@ -332,6 +347,7 @@ def stateful_queries() -> Mapping[str, Query]:
             )
         },
         "scd2_load": _loaded_dimension,
+        "compaction": compaction,
         "mat_funnel_repair": _materialised("mat_full_funnel", "pmod(hash({id}), 7) = 0", True),
         "mat_indexed_repair": _materialised("mat_full_funnel", "pmod(hash({id}), 7) = 0", False, by_day=True),
         "mat_indexed_serving": _materialised("mat_agg_serving_metrics", "pmod(hash({id}), 7) = 0", False, by_day=True),

@@ -33,6 +33,7 @@ SAMPLE = [
     "mat_indexed_repair",
     "mat_indexed_serving",
     "stream_restart",
+    "compaction",
     "stream_late_rows",
     "stream_funnel_delta",
 ]

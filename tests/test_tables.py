@@ -14,6 +14,7 @@ from funnelwright.sources.tables import (
     compact,
     create_table,
     read_table,
+    remove_replaced,
     replace_partitions,
     time_range,
     with_event_date,
@@ -90,20 +91,52 @@ def test_ingest_batch_is_repeatable(spark, tmp_path):
 def test_compaction_of_ingested_batches(spark, tmp_path, rows_of):
     root = str(tmp_path)
     events = derived.bid_request_events(spark, SF)
-    parts = [events.filter(F.expr(f"pmod(hash(id), 3) = {k}")) for k in range(3)]
+    parts = [events.filter(F.expr(f"pmod(hash(id), 4) = {k}")) for k in range(4)]
+    want = derived.request_facts(spark, SF)
+    path = f"{root}/bid_requests"
+
+    def seen():
+        return rows_of(read_table(spark, root, "bid_requests").select(*want.columns))
+
     for k in (0, 1):
         write_batch(parts[k], k, "bid_requests", root)
-    path = f"{root}/bid_requests"
-    before = rows_of(spark.read.parquet(path).drop("batch_id"))
-    for day in [r[0] for r in spark.read.parquet(path).select(F.col("event_date").cast("string")).distinct().collect()]:
+    before = seen()
+    early = read_table(spark, root, "bid_requests").select(*want.columns)
+    days = [r[0] for r in spark.read.parquet(path).select(F.col("event_date").cast("string")).distinct().collect()]
+    files = len(spark.read.parquet(path).inputFiles())
+    for day in days:
         compact(spark, path, {"event_date": day}, before_batch=2)
-    stored = spark.read.parquet(path)
-    assert rows_of(stored.drop("batch_id")) == before
-    write_batch(parts[2], 2, "bid_requests", root)
-    write_batch(parts[1], 1, "bid_requests", root)  # a late retry
-    stored = read_table(spark, root, "bid_requests")
-    want = derived.request_facts(spark, SF)
-    assert rows_of(stored.select(*want.columns)) == rows_of(want)
+        assert seen() == before  # some days merged, their batches still there
+    assert rows_of(early) == before  # a reader from before the markers
+    remove_replaced(spark, path)
+    assert seen() == before
+    assert len(read_table(spark, root, "bid_requests").inputFiles()) < files
+    for k in (2, 1, 3):  # 1 is a late retry
+        write_batch(parts[k], k, "bid_requests", root)
+    for _ in range(2):
+        compact(spark, path, {"event_date": days[0]}, before_batch=3)
+    assert seen() == rows_of(want)
+    remove_replaced(spark, path)
+    assert seen() == rows_of(want)
+    one_day = read_table(spark, root, "bid_requests").filter(F.col("event_date") == days[0])
+    assert {r.batch_id for r in one_day.select("batch_id").distinct().collect()} == {2, 3}
+    assert compact(spark, path, {"event_date": "1999-01-01"}, before_batch=3) == 0
+
+
+def test_compaction_without_its_marker_changes_nothing(spark, tmp_path, rows_of):
+    root = str(tmp_path)
+    for k in (0, 1):
+        write_batch(derived.impression_events(spark, SF).filter(F.expr(f"pmod(hash(impression_id), 2) = {k}")), k, "impressions", root)
+    before = rows_of(read_table(spark, root, "impressions"))
+    compact(spark, f"{root}/impressions", {"event_date": "2024-01-01"}, before_batch=2)
+    marker = tmp_path / "_compacted" / "impressions" / "run=0" / "_SUCCESS"
+    marker.unlink()  # as if the run had been stopped
+    assert rows_of(read_table(spark, root, "impressions")) == before
+    compact(spark, f"{root}/impressions", {"event_date": "2024-01-01"}, before_batch=2)
+    assert marker.exists()
+    assert rows_of(read_table(spark, root, "impressions").drop("batch_id")) == rows_of(
+        spark.read.parquet(f"{root}/impressions").drop("batch_id")
+    )
 
 
 def test_late_click_updates_the_hour_of_its_request(spark, tmp_path, rows_of):
@@ -269,7 +302,7 @@ def test_ids_name_the_days_that_hold_them(spark, tmp_path):
     assert keyindex.holding(spark, root, whole, "clicks", "impression_id", none) is whole["clicks"]
 
 
-def test_repair_by_key_reads_few_days(spark, tmp_path, rows_of, monkeypatch):
+def test_repair_by_key_reads_few_days(spark, tmp_path, rows_of):
     """One late click of the first day: the funnel is repaired from the days of its chain."""
     root, spec = str(tmp_path), SPECS["mat_full_funnel"]
     click = derived.click_facts(spark, SF).filter("event_timestamp < '2024-01-01 20:00:00'").orderBy("click_id").first()
