@@ -8,6 +8,7 @@ groups reached so far, so rows never exceed the distinct ids of a stage.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -19,15 +20,11 @@ from funnelwright.operators.joins import edges, interval_join, named
 # Longest wait in seconds from a stage to the next one.
 RESPONSE_WAIT, IMPRESSION_WAIT, CLICK_WAIT = 5, 10, 60
 
-_STAGES = ("bid_requests", "bid_responses", "impressions", "clicks")
+STAGES = ("bid_requests", "bid_responses", "impressions", "clicks")
 
 
 def _count_stages(stages: list[DataFrame], group: list[str]) -> DataFrame:
-    """Distinct ids per group and stage, one column per stage.
-
-    One distinct column per aggregate keeps Spark from multiplying rows by
-    the number of counts.
-    """
+    """Distinct ids per group and stage, one column per stage."""
     rows = reduce(
         DataFrame.unionByName,
         [
@@ -35,11 +32,20 @@ def _count_stages(stages: list[DataFrame], group: list[str]) -> DataFrame:
             for i, df in enumerate(stages)
         ],
     )
+    return count_ids(rows, group, STAGES)
+
+
+def count_ids(rows: DataFrame, group: list[str], stages: Sequence[str]) -> DataFrame:
+    """Distinct ids per group of rows (group, stage, id), one column per stage.
+
+    One distinct column per aggregate keeps Spark from multiplying rows by
+    the number of counts.
+    """
     counts = rows.groupBy(*group, "stage").agg(F.count_distinct("id").alias("n"))
     return counts.groupBy(*group).agg(
         *[
             F.coalesce(F.max(F.when(F.col("stage") == i, F.col("n"))), F.lit(0)).alias(name)
-            for i, name in enumerate(_STAGES)
+            for i, name in enumerate(stages)
         ]
     )
 

@@ -396,11 +396,16 @@ def serving_metrics(tables: Tables) -> DataFrame:
 
 
 def funnel_by_publisher(tables: Tables) -> DataFrame:
-    rows = linked_funnel(
+    counts = linked_funnel(
         tables["bid_requests"], tables["bid_responses"], tables["impressions"], tables["clicks"]
     )
+    return publisher_funnel(counts, tables)
+
+
+def publisher_funnel(counts: DataFrame, tables: Tables) -> DataFrame:
+    """Counts of the funnel with the attributes of their publishers."""
     rows = _attach(
-        rows, tables, _PUBLISHER, publisher_name="publisher_name", publisher_vertical="vertical", publisher_tier="tier"
+        counts, tables, _PUBLISHER, publisher_name="publisher_name", publisher_vertical="vertical", publisher_tier="tier"
     )
     return rows.select(
         "hour_start",
@@ -422,6 +427,11 @@ def funnel_leakage(tables: Tables) -> DataFrame:
     counts = linked_funnel(
         tables["bid_requests"], tables["bid_responses"], tables["impressions"], tables["clicks"]
     )
+    return publisher_leakage(counts, tables)
+
+
+def publisher_leakage(counts: DataFrame, tables: Tables) -> DataFrame:
+    """What each stage of the funnel loses, with the attributes of the publishers."""
     rows = leakage(counts, "hour_start")
     rows = _attach(rows, tables, _PUBLISHER, publisher_name="publisher_name", publisher_vertical="vertical")
     return rows.select(

@@ -796,6 +796,8 @@ def oracles() -> dict[str, str]:
         "mat_agg_impressions_by_geo": out["v_agg_impressions_by_geo"],
         "scd2_load": out["scd2_current"],
         "compaction": out["ingest_impressions"],
+        "stored_funnel": out["v_agg_funnel_by_publisher"],
+        "stored_leakage": out["v_agg_funnel_leakage"],
         "stream_rolling": out["rolling_bidder"],
         "stream_restart": out["rolling_bidder"],
         "stream_late_rows": _LATE_ROWS.format(impressions=out["ingest_impressions"], serving=out["serving_1m"]),

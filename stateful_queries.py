@@ -17,7 +17,9 @@ from funnelwright.model import DIMENSION_KEYS, table_schema
 from funnelwright.operators.ingest import FACT_BUILDERS
 from funnelwright.operators.dims import current_version, load_dimension
 from funnelwright.operators.stages import impression_stage
+from funnelwright.plans.linkstore import store_links, stored_funnel
 from funnelwright.plans.materialise import SPECS, materialise
+from funnelwright.plans.views import publisher_funnel, publisher_leakage
 from funnelwright.session import work_dir
 from funnelwright.sources import derived
 from funnelwright.sources.events import event_files
@@ -299,6 +301,19 @@ def _materialised(table: str, late: str | None, dims_change: bool, by_day: bool
     return run
 
 
+def _on_stored_links(view: Callable[[DataFrame, Mapping[str, DataFrame]], DataFrame]) -> Query:
+    """A report on the chain of ids, joined bucket by bucket over links that were stored first."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = _folder(spark, "links")
+        name = "links_" + root.rsplit("-", 1)[-1]
+        facts = {table: derived.FACTS[table](spark, sf_dir) for table in derived.FACTS}
+        store_links(facts, spark, root, name, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return view(stored_funnel(spark, name), {"dim_publisher": derived.dimension(spark, sf_dir, "dim_publisher")})
+
+    return run
+
+
 def _loaded_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First versions, then all, then both again: the stored table is that of all."""
     rows = derived.dimension(spark, sf_dir, "dim_publisher")
@@ -348,6 +363,8 @@ def stateful_queries() -> Mapping[str, Query]:
         },
         "scd2_load": _loaded_dimension,
         "compaction": compaction,
+        "stored_funnel": _on_stored_links(publisher_funnel),
+        "stored_leakage": _on_stored_links(publisher_leakage),
         "mat_funnel_repair": _materialised("mat_full_funnel", "pmod(hash({id}), 7) = 0", True),
         "mat_indexed_repair": _materialised("mat_full_funnel", "pmod(hash({id}), 7) = 0", False, by_day=True),
         "mat_indexed_serving": _materialised("mat_agg_serving_metrics", "pmod(hash({id}), 7) = 0", False, by_day=True),

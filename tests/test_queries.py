@@ -34,6 +34,8 @@ SAMPLE = [
     "mat_indexed_serving",
     "stream_restart",
     "compaction",
+    "stored_funnel",
+    "stored_leakage",
     "stream_late_rows",
     "stream_funnel_delta",
 ]
