@@ -28,41 +28,41 @@ def hourly_quality(
 ) -> DataFrame:
     """Quality metrics per hour over all four streams; takes stage frames.
 
-    One pass: every stream becomes (hour, kind, id), copies are counted per id
-    with map-side combine, and the counts are folded per hour. There is no
-    spine of hours to join to.
+    Each stream counts the copies of each id of an hour, with map-side combine, and
+    folds them to one row an hour; only those rows are united. There is no spine of
+    hours to join to.
     """
 
-    def keyed(df: DataFrame, kind: str, id_column: str) -> DataFrame:
+    def folded(df: DataFrame, kind: str, id_column: str) -> DataFrame:
         invalid = F.col("is_invalid") if "is_invalid" in df.columns else F.lit(False)
-        return df.select(
+        events = df.select(
             hour_of(F.col("event_ts")).alias("window_start"),
-            F.lit(kind).alias("kind"),
             F.col(id_column).alias("id"),
             invalid.cast("int").alias("invalid"),
         )
+        per_id = events.groupBy("window_start", "id").agg(F.count("*").alias("n"), F.max("invalid").alias("invalid"))
+        return per_id.groupBy("window_start").agg(
+            F.lit(kind).alias("kind"),
+            F.sum("n").alias("total"),
+            F.count("id").alias("unique"),
+            F.count(F.when((F.col("invalid") == 1) & F.col("id").isNotNull(), 1)).alias("broken"),
+        )
 
-    events = reduce(
+    kinds = reduce(
         DataFrame.unionByName,
         [
-            keyed(requests, "request", "request_id"),
-            keyed(responses, "response", "response_id"),
-            keyed(impressions, "win", "impression_id"),
-            keyed(clicks, "click", "click_id"),
+            folded(requests, "request", "request_id"),
+            folded(responses, "response", "response_id"),
+            folded(impressions, "win", "impression_id"),
+            folded(clicks, "click", "click_id"),
         ],
     )
-    per_id = events.groupBy("window_start", "kind", "id").agg(
-        F.count("*").alias("n"), F.max("invalid").alias("invalid")
-    )
-    measures = []
+    measures = [F.sum("broken").alias("invalid_bid_requests")]
     for kind, (total, unique, _, _) in _KINDS.items():
         here = F.col("kind") == kind
-        measures.append(F.coalesce(F.sum(F.when(here, F.col("n"))), F.lit(0)).alias(total))
-        measures.append(F.count(F.when(here, F.col("id"))).alias(unique))
-    broken = (F.col("invalid") == 1) & F.col("id").isNotNull()
-    hourly = per_id.groupBy("window_start").agg(
-        *measures, F.count(F.when(broken, 1)).alias("invalid_bid_requests")
-    )
+        measures.append(F.coalesce(F.sum(F.when(here, F.col("total"))), F.lit(0)).alias(total))
+        measures.append(F.coalesce(F.sum(F.when(here, F.col("unique"))), F.lit(0)).alias(unique))
+    hourly = kinds.groupBy("window_start").agg(*measures)
 
     columns = [F.col("window_start")]
     for total, unique, duplicate, rate in _KINDS.values():
