@@ -52,6 +52,16 @@ AGGREGATES: dict[str, Callable[[Frames], DataFrame]] = {
 }
 
 
+#: The event streams that each aggregate reads.
+READS: dict[str, tuple[str, ...]] = {
+    "hourly_impressions_by_geo": ("bid_requests", "impressions"),
+    "dq_event_quality_hourly": ("bid_requests", "bid_responses", "impressions", "clicks"),
+    "bid_landscape_hourly": ("bid_requests", "bid_responses"),
+    "realtime_serving_metrics_1m": ("impressions", "clicks"),
+    "hourly_funnel_by_publisher": ("bid_requests", "bid_responses", "impressions", "clicks"),
+    "funnel_leakage_hourly": ("bid_requests", "bid_responses", "impressions", "clicks"),
+}
+
 # Columns of landed rows, whichever streams are there.
 _COLUMNS = """request_id string, response_id string, impression_id string, click_id string, publisher_id int,
     country string, is_invalid boolean, bids array<struct<bid_id: string, bid_price: double>>, bidder_id int,
