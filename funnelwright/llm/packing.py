@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +27,11 @@ from funnelwright.llm.common import documents, stored, workers_import
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a Python worker remembers, in two halves.
-REMEMBERED = 300_000
+#: Runs of letters or signs whose ids a Python worker remembers, in two halves.
+REMEMBERED = 1_000_000
+#: Words between white space that it remembers, packed in three arrays, and how many new ones are looked up at once.
+REMEMBERED_WORDS = 400_000
+PORTION = 10_000
 #: Rounds of the multiplicative weights.
 ROUNDS = 400
 #: Lengths served in a round, the part of a demand served at once, and how fast weights fall.
@@ -62,6 +66,8 @@ class WordIds:
         self.ends[ends] = True
         self.ids: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.known = pa.array([], pa.string())
+        self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, "<u4")
 
     def _whole(self, words: list[str]) -> None:
         for word, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
@@ -79,7 +85,7 @@ class WordIds:
         for start in range(0, len(runs), 2000):
             part = runs[start : start + 2000]
             # one call for many words; each word's last token is marked as an end
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(part):
                 self._whole(part)
@@ -90,21 +96,55 @@ class WordIds:
                 at = 4 * stop
         self._whole([w for w in new if not w.isalpha()])
 
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words without white space."""
+        out: list[bytes] = []
+        for start in range(0, len(words), PORTION):
+            part = words[start : start + PORTION]
+            joined = " ".join(part)
+            plain = self.LATIN.fullmatch(joined) and "<|" not in joined
+            runs = [
+                self.RUNS.findall(w.lower()) if plain or (self.LATIN.fullmatch(w) and "<|" not in w) else [w] for w in part
+            ]
+            used = set().union(*runs)
+            if not all(map(self.ids.__contains__, used)):
+                self._learn(used)
+            ids = self.ids
+            out += [ids[r[0]] if len(r) == 1 else b"".join([ids[run] for run in r]) for r in runs]
+        return out
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Unsigned 32-bit ids of many texts on end, and where each text's begin and the last's end.
+
+        Each distinct word between white space is looked up once: the words of the
+        texts are coded after those remembered, whose codes are thus their places.
+        """
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = pa.concat_arrays([self.known, lists.flatten()]).dictionary_encode()
+        codes = coded.indices.to_numpy()[len(self.known) :]
+        new = self._of_words(coded.dictionary[len(self.known) :].to_pylist())
+        sizes = np.fromiter(map(len, new), np.int64, len(new)) // 4
+        self.known = coded.dictionary
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(new), dtype="<u4")])
+        ids, ends = self._gathered(codes)
+        offsets = lists.offsets.to_numpy()
+        if len(self.known) > REMEMBERED_WORDS:  # those of these texts stay
+            used = np.unique(codes)
+            self.flat = self._gathered(used)[0]
+            self.known, self.sizes = self.known.take(pa.array(used)), self.sizes[used]
+        return ids, ends[offsets - offsets[0]]
+
+    def _gathered(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of remembered words on end, and the bounds of the words."""
+        sizes = self.sizes[codes]
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+        first = np.cumsum(self.sizes) - self.sizes
+        return self.flat[np.repeat(first[codes] - ends[:-1], sizes) + np.arange(ends[-1])], ends
+
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if self.LATIN.fullmatch(text) and "<|" not in text:
-            words = self.RUNS.findall(text.lower())
-        else:
-            words = [w.decode() for w in text.encode().split()]
-        try:
-            return b"".join(map(self.ids.__getitem__, words))
-        except KeyError:
-            out = []
-            for start in range(0, len(words), REMEMBERED // 16):
-                part = words[start : start + REMEMBERED // 16]
-                self._learn(set(part))
-                out += map(self.ids.__getitem__, part)
-            return b"".join(out)
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
 
 
 _SHARED: dict[str, WordIds] = {}
@@ -136,8 +176,9 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
         ids_of = word_ids(path)
         for batch in batches:
             rows, ids = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = ids_of.encode(text.as_py() or "") + b"\0\0\0\0"
+            found, bounds = ids_of.encode_all(batch.column(1))
+            for i, doc in enumerate(batch.column(0).to_pylist()):
+                data = found[bounds[i] : bounds[i + 1]].tobytes() + b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at : at + 4 * capacity]
                     rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))

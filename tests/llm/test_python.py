@@ -393,6 +393,23 @@ def test_words_are_remembered_in_halves(monkeypatch):
         assert len(coder.ids) + len(coder.older) <= 3 * 64
 
 
+def test_words_of_many_texts_are_looked_up_once(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 50)
+    coder, looked_up = packing.WordIds(packing.default_tokenizer()), []
+    of_words = coder._of_words
+    coder._of_words = lambda words: looked_up.append(words) or of_words(words)
+    texts = [None, "", " \t lead and, trail\n", "Don't 12 \u00c0\u00c9 a\xa0b \x1cc", "lead " * 50, "\u6f22\u5b57 a<|b lead"]
+    texts += [" ".join(f"w{k}" for k in range(100))]
+    for _ in range(3):
+        for lo in (0, 3):
+            ids, bounds = coder.encode_all(pa.array(texts, pa.string())[lo:])
+            for k, text in enumerate(texts[lo:]):
+                want = coder.tokenizer.encode(text or "", add_special_tokens=False).ids
+                assert ids[bounds[k] : bounds[k + 1]].tolist() == want
+    assert all(len(set(words)) == len(words) for words in looked_up)
+    assert sum("lead" in words for words in looked_up) == 1
+
+
 def test_encoding_is_the_best_segmentation_and_decodes():
     import sentencepiece
 
