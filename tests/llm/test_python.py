@@ -175,6 +175,48 @@ def test_short_lines_take_part(spark):
     assert [r.n_removed for r in out] == [0, 4, 2]
 
 
+def test_long_lines_that_share_words_make_few_pairs(spark, monkeypatch):
+    """Lines of 120 out of 400 words: any two share some, and few pairs are compared in full."""
+    compared, matching = [], linededup._matching
+
+    def counted(pairs, sets, percent):
+        compared.append(pairs.count())
+        return matching(pairs, sets, percent)
+
+    monkeypatch.setattr(linededup, "_matching", counted)
+    rng = random.Random(11)
+    lines = [rng.sample([f"v{i}" for i in range(400)], 120) for _ in range(600)]
+    lines += [[*line[:108], *(f"n{i}" for i in range(12))] for line in lines[:20]]  # 108 of 132: they match
+    lines += [[*line[:106], *(f"n{i}" for i in range(14))] for line in lines[20:40]]  # 106 of 134 do not
+    out = linededup.without_repeats(docs_of(spark, [" ".join(line) for line in lines])).collect()
+    assert {r.doc_id for r in out if r.n_removed} == set(range(600, 620))
+    assert 20 <= sum(compared) <= 200
+
+
+@pytest.mark.parametrize("size", [4, 7, 23, 61, 150, 400])
+def test_sets_at_the_bound_share_a_part(size):
+    """Both sets of a matching pair post a part of the same signature, whatever differs."""
+    rng = np.random.default_rng(size)
+    for _ in range(60):
+        other = rng.integers(-(-size * 80 // 100), size * 125 // 100 + 1)
+        common = -(-80 * (size + other) // 180)
+        if common > min(size, other):
+            continue
+        words = rng.integers(0, 2**64, size + other - common, dtype=np.uint64)
+        weight = rng.integers(1, 300, len(words)).astype(np.int16)
+        sides = np.arange(size), np.r_[np.arange(common), np.arange(size, len(words))]
+        met = []
+        for side in sides:
+            n = np.array([len(side)])
+            lowest, highest, most = linededup._bands(n, 80)
+            found = set()
+            for band in range(int(lowest[0]), int(highest[0]) + 1):
+                differ = np.minimum(linededup.DIFFER[[band]], most)
+                found |= set(linededup._strongest_parts(n, words[side], weight[side], np.array([band]), differ)[1].tolist())
+            met.append(found)
+        assert size == other == common or met[0] & met[1]
+
+
 def counts_by_force(text):
     words = WORD.findall(text or "")
     seen = defaultdict(list)
