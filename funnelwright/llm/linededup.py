@@ -53,10 +53,10 @@ DIFFER = np.array([0, 1, 2, 3, 5, 8, 13, 21, 34, 55, 89, *(int(144 * 1.6**k) for
 WEIGHT = 16
 #: Bits of a signature and of a set's digest that a posting drops. Sets that agree in
 #: the others meet too and are told apart by what is looked up for them.
-SIGNATURE_DROPPED, KEY_DROPPED = 24, 16
+SIGNATURE_DROPPED, KEY_DROPPED = 24, 24
 #: Bits of a set's parity that a posting carries where up to FEW words may differ, and elsewhere; MANY or more are not told apart.
 FEW, MANY = 14, 127
-SHORT_BITS, LONG_BITS = 36, 56
+SHORT_BITS, LONG_BITS = 32, 56
 #: Postings before it in its list that a posting is compared with by those; longer lists are kept.
 NEAR = 32
 #: Lines whose parts are found together.
@@ -286,9 +286,10 @@ def _met(long_list: int, span: int):
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_lists(batches, ["token"]):
-            token, key = rows["token"], rows["key"]
+            token, key, near = rows["token"], rows["key"], rows["near"]
             new = np.concatenate([[True], token[1:] != token[:-1]])
-            once = new | np.concatenate([[True], key[1:] != key[:-1]])
+            # sets of one key are mostly told apart by their parities
+            once = new | np.concatenate([[True], (key[1:] != key[:-1]) | (near[1:] != near[:-1])])
             rows = {c: column[once] for c, column in rows.items()}
             starts = np.flatnonzero(new[once])
             n = np.diff(np.append(starts, once.sum()))
