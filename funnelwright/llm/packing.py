@@ -28,9 +28,9 @@ from funnelwright.llm.common import documents, stored, workers_import
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 #: Runs of letters or signs whose ids a Python worker remembers, in two halves.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 #: Words between white space that it remembers, packed in three arrays, and how many new ones are looked up at once.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 200_000
 PORTION = 10_000
 #: Rounds of the multiplicative weights.
 ROUNDS = 400
