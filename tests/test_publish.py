@@ -1,5 +1,7 @@
 """Staged partitions are published by moving them; repairs read the facts of their view only."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +60,40 @@ def test_facts_of_a_view_are_those_it_reads(spark):
     for spec in m.SPECS.values():
         facts = {name: derived.FACTS[name](spark, SF) for name in m.facts_of(spec.view)}
         VIEWS[spec.view](dims | facts)  # no other fact is asked for
+
+
+def shuffle_files(spark):
+    return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").count("/shuffle_")
+
+
+def test_wide_rows_are_neither_shuffled_for_their_write_nor_marked_twice_and_shuffles_go(spark, tmp_path, monkeypatch, rows_of):
+    spec, create = m.SPECS["mat_full_funnel"], m.create_table
+    dims = {name: derived.dimension(spark, SF, name) for name, _ in spec.dims}
+    facts = {}
+    for name, build in derived.FACTS.items():
+        rows = build(spark, SF)
+        rows.withColumn("batch_id", F.expr(f"IF(pmod(hash({rows.columns[0]}), 7) = 0, 2, 1)")).write.parquet(f"{tmp_path}/{name}")
+        facts[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    first = {name: rows.filter("batch_id = 1") for name, rows in facts.items()}
+    for days, gathered in ((3, False), (2, True)):
+        root, seen = f"{tmp_path}/{days}", []
+
+        def watched(df, path, by=(), gather=True):
+            if by:
+                seen.append((gather, "_mark" in df._jdf.queryExecution().analyzed().toString()))
+            create(df, path, by, gather)
+
+        monkeypatch.setattr(m, "DIRECT_DAYS", days)
+        monkeypatch.setattr(m, "create_table", watched)
+        before = shuffle_files(spark)
+        m.materialise(spark, spec, first | dims, root)
+        m.materialise(spark, spec, facts | dims, root)
+        for _ in range(50):  # files are removed in the background
+            if shuffle_files(spark) <= before:
+                break
+            time.sleep(0.2)
+        assert shuffle_files(spark) <= before
+        assert seen == [(gathered, False)] * 2
+        got = spark.read.parquet(f"{root}/{spec.table}").drop("event_date")
+        assert rows_of(got) == rows_of(VIEWS[spec.view](facts | dims).select(*got.columns))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

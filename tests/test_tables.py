@@ -302,7 +302,7 @@ def test_ids_name_the_days_that_hold_them(spark, tmp_path):
     assert keyindex.holding(spark, root, whole, "clicks", "impression_id", none) is whole["clicks"]
 
 
-def test_repair_by_key_reads_few_days(spark, tmp_path, rows_of):
+def test_repair_by_key_reads_few_days(spark, tmp_path, monkeypatch, rows_of):
     """One late click of the first day: the funnel is repaired from the days of its chain."""
     root, spec = str(tmp_path), SPECS["mat_full_funnel"]
     click = derived.click_facts(spark, SF).filter("event_timestamp < '2024-01-01 20:00:00'").orderBy("click_id").first()
