@@ -50,7 +50,7 @@ SENTINEL_US = derived._BASE + 40 * 86400 * 1_000_000
 # Parts that arrive before each run of a stream.
 TWO_RUNS = ((0,), (1, 2))
 # Stored rows for each partition of a stream's state, in bytes, and partitions at least.
-STATE_BYTES, LEAST_STATE_PARTITIONS = 4 * 1024 * 1024, 4
+STATE_BYTES, LEAST_STATE_PARTITIONS = 32 * 1024 * 1024, 8
 # Impressions that arrive late in the query on late rows.
 HELD = "%7-%"
 

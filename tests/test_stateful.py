@@ -44,3 +44,20 @@ def test_state_has_the_partitions_it_was_started_with(spark, tmp_path):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     folders = {os.path.basename(f) for f in glob(f"{root}/checkpoint/state/0/*")}
     assert {f for f in folders if f.isdigit()} == {"0", "1"}
+
+
+def test_state_of_few_batches_has_few_partitions_and_no_changes_to_repeat(spark, tmp_path, monkeypatch, rows_of):
+    arrivals = q._stage_arrivals(spark, SF, str(tmp_path), ["impressions"])
+    with monkeypatch.context() as m:
+        m.setattr(q, "path_bytes", lambda spark, path: 2_560 * 1024 * 1024)
+        assert arrivals.state_partitions() == 80
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in q.TWO_RUNS:
+        arrivals.arrive(*parts)
+        with runs.state_partitions(spark, 2):
+            shown = arrivals.streams()["impressions"].withWatermark("event_ts", "30 seconds")
+            runs.run_available(shown.dropDuplicatesWithinWatermark(["impression_id"]), str(tmp_path))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert not [*tmp_path.glob("checkpoint/state/**/*.changelog")]
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert rows_of(got) == rows_of(derived.impression_stage(spark, SF).distinct().select(*got.columns))
